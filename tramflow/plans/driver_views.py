@@ -180,3 +180,102 @@ DAY_TYPE_SQL = """CASE WHEN list_contains(day_types, 'DP') THEN 'DP'
             ELSE 'Unknown' END"""
 
 CALENDAR_SQL = f"SELECT day, day_types, {DAY_TYPE_SQL} AS DayType FROM ({CALENDAR_RAW_SQL}) cr"
+
+
+# ---------------------------------------------------------------- load feeds
+
+FEED_R_MOD, FEED_R_HIT = 17, 5      # every 17th supplier has an 'R' unit
+FEED_NULL_MOD, FEED_NULL_HIT = 11, 3  # every 11th supplier has no coordinates
+ROUTE_LINE_MOD = 997                  # orders share a line number
+
+
+def _feed_unit(key: str = "s_suppkey") -> Column:
+    base = F.floor(F.col(key) / 3).cast("long").cast("string")
+    return F.when(F.col(key) % FEED_R_MOD == FEED_R_HIT, F.concat(F.lit("R"), _pad(base, 3))).otherwise(_pad(base, 4))
+
+
+def _feed_post(key: str = "s_suppkey") -> Column:
+    return F.concat(F.lit("0"), (F.col(key) % 2 + 1).cast("string"))
+
+
+def stops_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stops collection rows (unit, post, unit_name, street_id, latitude,
+    longitude, direction, valid_from): duplicate (unit, post), R units and
+    missing coordinates included."""
+    s = table(spark, sf_dir, "supplier")
+    no_xy = F.col("s_suppkey") % FEED_NULL_MOD == FEED_NULL_HIT
+    return s.select(
+        _feed_unit().alias("unit"),
+        _feed_post().alias("post"),
+        F.col("s_name").alias("unit_name"),
+        F.col("s_nationkey").alias("street_id"),
+        F.when(~no_xy, _coord("s_suppkey", LAT0, STOP_LAT_MUL, STOP_LAT_SPAN)).alias("latitude"),
+        F.when(~no_xy, _coord("s_suppkey", LON0, STOP_LON_MUL, STOP_LON_SPAN)).alias("longitude"),
+        F.concat(F.lit("dir-"), (F.col("s_suppkey") % 4).cast("string")).alias("direction"),
+        F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("valid_from"),
+    )
+
+
+def route_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat route stops from line items: one line document per order, one route
+    per return flag, stops in line-number order."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("doc_id"),
+        (F.col("l_orderkey") % ROUTE_LINE_MOD).cast("string").alias("line_nr"),
+        F.col("l_returnflag").alias("route_nr"),
+        F.concat(_feed_unit("l_suppkey"), _feed_post("l_suppkey")).alias("stop_nr"),
+        F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("stop_name"),
+        F.lit("").alias("street"),
+        (F.col("l_quantity") > 25).alias("r_flag"),
+        F.col("l_linenumber").alias("min_time"),
+        (F.col("l_linenumber") + 1).alias("max_time"),
+        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+    )
+
+
+def routes_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Routes collection (doc_id, line_nr, number_of_routes, routes[stops[]]) (A5)."""
+    from tramflow.operators.nested import assemble
+
+    items = route_items(spark, sf_dir)
+    routes = assemble(
+        items,
+        ["doc_id", "line_nr", "route_nr"],
+        ["stop_nr", "stop_name", "street", "r_flag", "min_time", "max_time"],
+        ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"],
+        "stops",
+        count_col="number_of_stops",
+    )
+    docs = assemble(routes, ["doc_id", "line_nr"], ["route_nr", "number_of_stops", "stops"], ["route_nr"], "routes")
+    return docs.select("doc_id", "line_nr", F.size("routes").alias("number_of_routes"), "routes")
+
+
+def _sql_feed_unit(key: str) -> str:
+    base = f"CAST({key} // 3 AS VARCHAR)"
+    return (f"(CASE WHEN {key} % {FEED_R_MOD} = {FEED_R_HIT} THEN 'R' || {_sql_pad(base, 3)} "
+            f"ELSE {_sql_pad(base, 4)} END)")
+
+
+def _sql_feed_post(key: str) -> str:
+    return f"('0' || CAST({key} % 2 + 1 AS VARCHAR))"
+
+
+STOPS_FEED_SQL = f"""
+SELECT {_sql_feed_unit('s_suppkey')} AS unit, {_sql_feed_post('s_suppkey')} AS post, s_name AS unit_name,
+       s_nationkey AS street_id,
+       CASE WHEN s_suppkey % {FEED_NULL_MOD} = {FEED_NULL_HIT} THEN NULL
+            ELSE {_sql_coord('s_suppkey', LAT0, STOP_LAT_MUL, STOP_LAT_SPAN)} END AS latitude,
+       CASE WHEN s_suppkey % {FEED_NULL_MOD} = {FEED_NULL_HIT} THEN NULL
+            ELSE {_sql_coord('s_suppkey', LON0, STOP_LON_MUL, STOP_LON_SPAN)} END AS longitude,
+       'dir-' || CAST(s_suppkey % 4 AS VARCHAR) AS direction,
+       TIMESTAMP '2024-01-01 00:00:00' AS valid_from
+FROM supplier"""
+
+ROUTE_ITEMS_SQL = f"""
+SELECT l_orderkey AS doc_id, CAST(l_orderkey % {ROUTE_LINE_MOD} AS VARCHAR) AS line_nr, l_returnflag AS route_nr,
+       {_sql_feed_unit('l_suppkey')} || {_sql_feed_post('l_suppkey')} AS stop_nr,
+       'Part ' || CAST(l_partkey AS VARCHAR) AS stop_name, '' AS street, l_quantity > 25 AS r_flag,
+       l_linenumber AS min_time, l_linenumber + 1 AS max_time,
+       l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice
+FROM lineitem"""
