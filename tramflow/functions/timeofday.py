@@ -22,10 +22,11 @@ def seconds_of_day(ts) -> Column:
 def seconds_to_hms(sec) -> Column:
     """``HH:mm:ss`` wall-clock text of a service-day second (hour modulo 24)."""
     s = as_col(sec).cast("long")
-    return F.concat_ws(
-        ":",
+    return F.concat(
         F.lpad(((s / 3600).cast("long") % 24).cast("string"), 2, "0"),
+        F.lit(":"),
         F.lpad(((s % 3600) / 60).cast("long").cast("string"), 2, "0"),
+        F.lit(":"),
         F.lpad((s % 60).cast("string"), 2, "0"),
     )
 

@@ -30,8 +30,17 @@ SERVICE_DAY_SEC = 93600  # a service day runs until 26:00
 ROUTE_B_MUL, ROUTE_B_MOD = 7, 1009
 
 
+# tables small enough to stay one task (dimension-sized at every scale here)
+_SMALL_TABLES = {"region", "nation", "supplier"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if name in _SMALL_TABLES:
+        return spark.read.parquet(path)
+    from tramflow.sources.readers import read_parquet
+
+    return read_parquet(spark, path)
 
 
 def _coord(key: str, base: float, mul: int, span: int) -> Column:

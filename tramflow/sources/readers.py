@@ -73,3 +73,24 @@ def parse_stops(feed: DataFrame) -> DataFrame:
 
 def read_stops_feed(spark: SparkSession, path: str) -> DataFrame:
     return parse_stops(spark.read.schema(schemas.STOPS_FEED).option("multiLine", True).json(path))
+
+
+def ensure_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A small file with one row group scans as one task, which would run every
+    narrow step before the first shuffle on one core.  Large inputs already
+    arrive in many splits, so this is a no-op at scale.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
+        return df
+    return df.repartition(want) if have < want else df
+
+
+def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    """Parquet scan with at least ``min_partitions`` (default: cores) partitions."""
+    return ensure_partitions(spark.read.parquet(path), min_partitions)
