@@ -177,7 +177,7 @@ def calendar_days(lines: DataFrame) -> DataFrame:
     d = lines.withColumn("_ka", F.min(F.when(F.col("line").contains(CALENDAR_START), F.col("pos"))).over(w))
     body = d.filter((F.col("pos") > F.col("_ka")) & (F.length(F.trim(F.col("line"))) > 0))
     return body.select(
-        F.try_to_date(_tok(toks, 1), F.lit("yyyy-MM-dd")).alias("day"),
+        F.try_to_date(_tok(toks, 1), "yyyy-MM-dd").alias("day"),
         F.slice(toks, 3, F.greatest(F.size(toks) - 2, F.lit(0))).alias("day_types"),
     )
 
