@@ -145,6 +145,32 @@ def q_o1_sorted_fact(spark, d):
     return delays.delay_fact(_direction(spark, d)).orderBy("VehicleNumber", "Date", "DepTime", "StopNo", "Delay")
 
 
+@register("t5_stream_nearest", "T1 T4 T5", f"""WITH {od.CTE_TRAMS}
+SELECT Lines, Brigade, Time, VehicleNumber, Lat, Lon, stop_nr, StopName, Unit, distance FROM trams
+WHERE Time <= (SELECT max(Time) FROM pings) - INTERVAL 10 MINUTE""")
+def q_t5_stream_nearest(spark, d):
+    """The events table replayed as a file stream through the streaming
+    nearest-stop operator (availableNow); groups within the watermark delay of
+    the last event are still open and not emitted."""
+    import uuid
+
+    from tramflow.session import ensure_checkpoint_dir
+    from tramflow.streaming import dedupe_pings, stream_nearest
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/t5-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{d}/events.parquet")
+    # a file stream needs a folder or a pattern; this one matches only the events file
+    stream = spark.readStream.schema(events.schema).parquet(f"{d}/event[s].parquet")
+    near = stream_nearest(dedupe_pings(dv.pings_from_events(stream)), delays.stop_candidates(dv.route_stops(spark, d)))
+    q = (near.writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.schema(near.schema).parquet(f"{base}/out")
+
+
 # ---------------------------------------------------------------- dimensions
 
 

@@ -53,7 +53,11 @@ def _pad(c: Column, width: int) -> Column:
 
 def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(VehicleNumber, Lines, Brigade, Time, Lon, Lat) -- one ping per event."""
-    ev = table(spark, sf_dir, "events")
+    return pings_from_events(table(spark, sf_dir, "events"))
+
+
+def pings_from_events(ev: DataFrame) -> DataFrame:
+    """The ping projection of an events frame (batch or stream)."""
     return ev.select(
         F.col("user_id").cast("string").alias("VehicleNumber"),
         (F.col("user_id") % N_LINES).cast("string").alias("Lines"),
