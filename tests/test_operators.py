@@ -75,9 +75,10 @@ def test_nearest_grid_equals_brute_force(spark):
             g = (ln, br, t)
             if g not in expect or key < expect[g]:
                 expect[g] = key
-    for cell in (None, 0.003, 0.02, 0.2):
+    for cell in (None, "auto", 0.003, 0.02, 0.2):
+        extra = {"grid_min_candidates": 0} if cell == "auto" else {}
         got = {(r["Lines"], r["Brigade"], r["Time"]): (r["distance"], r["stop_nr"], r["VehicleNumber"], r["Lat"], r["Lon"])
-               for r in _nearest(spark, pings, stops, cell_deg=cell).collect()}
+               for r in _nearest(spark, pings, stops, cell_deg=cell, **extra).collect()}
         assert got == expect, cell
 
 

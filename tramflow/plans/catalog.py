@@ -58,7 +58,8 @@ def _trams(spark, d):
 
 
 def _results(spark, d):
-    return delays.delay_matches(_trams(spark, d), dv.timetable(spark, d), delays.calendar(dv.calendar_raw(spark, d)))
+    res = delays.delay_matches(_trams(spark, d), dv.timetable(spark, d), delays.calendar(dv.calendar_raw(spark, d)))
+    return delays.materialize(res)
 
 
 def _direction(spark, d, keep_only_matched=False):
@@ -90,6 +91,20 @@ def q_j9_nearest_stop(spark, d):
     ).select("Lines", "Brigade", "Time", "VehicleNumber", "Lat", "Lon", "stop_nr", "StopName", "Unit", "distance")
 
 
+@register("j9_nearest_stop_grid", "J9 J3 P18 W1 F1", od.NEAREST_SQL)
+def q_j9_nearest_stop_grid(spark, d):
+    """The grid path forced on (per-line cell sizes, exact fallback)."""
+    cands = delays.stop_candidates(dv.route_stops(spark, d)).withColumnRenamed("Lat", "s_Lat").withColumnRenamed("Lon", "s_Lon")
+    from tramflow.operators.nearest import nearest_match
+
+    return nearest_match(
+        dv.pings(spark, d), cands, on=[("Lines", "line_nr")], left_xy=("Lon", "Lat"), right_xy=("s_Lon", "s_Lat"),
+        group_by=["Lines", "Brigade", "Time"], right_cols=["stop_nr", "StopName", "Unit"],
+        left_cols=["Lines", "Brigade", "Time", "VehicleNumber", "Lat", "Lon"],
+        right_order=["stop_nr"], left_order=["VehicleNumber", "Lat", "Lon"], cell_deg="auto", grid_min_candidates=0,
+    ).select("Lines", "Brigade", "Time", "VehicleNumber", "Lat", "Lon", "stop_nr", "StopName", "Unit", "distance")
+
+
 @register("j9_nearest_stop_no_grid", "J9 J3 P18 W1 F1", od.NEAREST_SQL)
 def q_j9_nearest_stop_no_grid(spark, d):
     cands = delays.stop_candidates(dv.route_stops(spark, d)).withColumnRenamed("Lat", "s_Lat").withColumnRenamed("Lon", "s_Lon")

@@ -18,6 +18,7 @@ from tramflow.operators.bandjoin import band_join
 from tramflow.operators.broadcast import broadcast_if_small
 from tramflow.operators.nearest import nearest_match
 from tramflow.operators.windows import previous_distinct
+from tramflow.session import ensure_checkpoint_dir
 
 # The band keeps departures scheduled less than 10 minutes
 # before and less than 3 minutes after the ping.
@@ -46,8 +47,8 @@ def trams_stops(
     pings: DataFrame,
     route_stops: DataFrame,
     *,
-    cell_deg: float | None = 0.02,
-    levels=(1, 4),
+    cell_deg: float | str | None = "auto",
+    levels=(1,),
     max_distance: float | None = None,
     lower: int = BAND_LOWER_SEC,
     upper: int = BAND_UPPER_SEC,
@@ -128,6 +129,17 @@ def delay_matches(
     ).distinct()
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the cluster's checkpoint folder and read it back.
+
+    Used where one result feeds several branches (the chunked windows and the
+    direction join read the matches twice): the matching pipeline runs once,
+    and lineage is cut, so a lost executor does not replay it.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def previous_stops(results: DataFrame, split_hours: bool = True) -> DataFrame:
     """Previous distinct stop of each vehicle on each date and line."""
     return previous_distinct(
@@ -185,13 +197,13 @@ def run_delays(
     timetable: DataFrame,
     calendar_raw: DataFrame,
     *,
-    cell_deg: float | None = 0.02,
+    cell_deg: float | str | None = "auto",
     lower: int = BAND_LOWER_SEC,
     upper: int = BAND_UPPER_SEC,
     keep_only_matched: bool = False,
 ) -> DataFrame:
     """The whole batch; returns the direction-enriched result rows."""
     trams = trams_stops(pings, route_stops, cell_deg=cell_deg, lower=lower, upper=upper)
-    res = delay_matches(trams, timetable, calendar(calendar_raw), lower=lower, upper=upper)
+    res = materialize(delay_matches(trams, timetable, calendar(calendar_raw), lower=lower, upper=upper))
     prev = previous_stops(res)
     return direction(prev, routes_order(route_stops), keep_only_matched=keep_only_matched)
