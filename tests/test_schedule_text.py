@@ -128,3 +128,22 @@ def test_routes(spark, dump_path):
         ("200102", "Second", "GRÓJECKA ", False, 3, 4),
     ]
     assert [tuple(s) for s in tp_d["stops"]] == [("200102", "Second", "", False, 0, 0)]
+
+
+def test_reference_import_writes_collections(spark, dump_path, scratch):
+    import json
+
+    from tramflow.plans.reference_import import COLLECTIONS, run_import
+
+    feed = {"result": [{"values": [{"value": v, "key": str(i)} for i, v in enumerate(
+        ["1001", "01", "Stop One", "5", "52.2", "21.0", "north", "2024-01-01 00:00:00.0"])]}]}
+    feed_path = os.path.join(scratch, "stops.json")
+    with open(feed_path, "w") as f:
+        json.dump(feed, f)
+    paths = run_import(spark, dump_path, feed_path, os.path.join(scratch, "collections"))
+    assert sorted(paths) == sorted(COLLECTIONS)
+    counts = {k: spark.read.parquet(p).count() for k, p in paths.items()}
+    assert counts == {"Timetable": 5, "Calendar": 3, "Stops": 1, "Routes": 2}
+    # replacing again keeps one copy
+    run_import(spark, dump_path, feed_path, os.path.join(scratch, "collections"))
+    assert spark.read.parquet(paths["Timetable"]).count() == 5
