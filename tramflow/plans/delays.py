@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from tramflow.functions.calendar import day_type
 from tramflow.functions.timeofday import band_bound, seconds_of_day, seconds_to_hms
 from tramflow.operators.bandjoin import band_join
-from tramflow.operators.broadcast import broadcast_if_small
 from tramflow.operators.nearest import nearest_match
 from tramflow.operators.windows import previous_distinct
 from tramflow.session import ensure_checkpoint_dir
@@ -91,7 +90,7 @@ def delay_matches(
     lower: int = BAND_LOWER_SEC,
     upper: int = BAND_UPPER_SEC,
     service_day_sec: int = 93600,
-    calendar_rows: int = 200_000,
+    broadcast_calendar: bool = True,
 ) -> DataFrame:
     """Departures of the ping's line at its stop complex inside the band.
 
@@ -109,8 +108,9 @@ def delay_matches(
         .withColumn("_svc_day", F.date_sub(F.col("Date"), F.col("_off")))
         .withColumn("_svc_sec", sod + F.col("_off") * F.lit(DAY_SEC))
     )
+    # one row per calendar date: bounded by the number of days, broadcast as is
     cal = calendar_df.select(F.col("day").alias("_svc_day"), F.col("DayType").alias("_svc_type"))
-    cand = cand.join(broadcast_if_small(cal, calendar_rows), "_svc_day")
+    cand = cand.join(F.broadcast(cal) if broadcast_calendar else cal, "_svc_day")
     tt = timetable.select(
         F.col("Lines").alias("TT_Lines"), F.col("Unit").alias("_tt_unit"), F.col("DayType"),
         "Route", "StopNo", "Order", "dep_sec",
