@@ -149,6 +149,24 @@ def q_j6_direction(spark, d):
     return _direction(spark, d).select(*_DIRECTION_COLS)
 
 
+@register("s10_sql_direction", "S9 S10 J6", od.DIRECTION_SQL)
+def q_s10_sql_direction(spark, d):
+    """The direction join written as SQL text over registered views."""
+    prev = delays.previous_stops(_results(spark, d))
+    order = delays.routes_order(dv.route_stops(spark, d))
+    prev.createOrReplaceTempView("tf_previous_stops")
+    order.createOrReplaceTempView("tf_routes_order")
+    return spark.sql(
+        """
+        SELECT ps.Lines, ps.VehicleNumber, ps.Date, ps.CurrTramTime, ps.StopName, ps.StopNo, ps.DepTime,
+               ps.Delay, ps.PrevStopCorrected, ro.route_nr AS Direction
+        FROM tf_previous_stops AS ps
+        LEFT JOIN tf_routes_order AS ro
+          ON ps.Lines = ro.line_nr AND ps.StopNo = ro.stop_nr AND ps.PrevStopCorrected = ro.PrevCorrected
+        """
+    )
+
+
 @register("f5_direction_matched", "F5", f"""WITH {od.CTE_DIRECTION}
 SELECT {", ".join(_DIRECTION_COLS)} FROM dir WHERE Direction IS NOT NULL""")
 def q_f5_direction_matched(spark, d):
