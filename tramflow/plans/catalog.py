@@ -295,7 +295,7 @@ SELECT event_id,
        TIMESTAMP '2024-01-01 00:00:00' AS created_at
 FROM events""")
 def q_p17_null_literal(spark, d):
-    ev = dv.table(spark, d, "events")
+    ev = dv.table(spark, d, "events", ["event_id", "user_id", "ts"])
     vid = F.when(F.col("event_id") % 9 == 0, F.lit("null")).otherwise(F.col("user_id").cast("string"))
     seen = F.when(F.col("event_id") % 7 == 0, F.lit("null")).otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     return ev.select(
@@ -343,7 +343,7 @@ SELECT event_id, user_id, event_type,
        CASE WHEN event_type <> lag(event_type) OVER ({_EV_W}) THEN lag(event_type) OVER ({_EV_W}) END AS prev_type
 FROM events""")
 def q_w2_change_detection(spark, d):
-    ev = dv.table(spark, d, "events").select("event_id", "user_id", "event_type", "ts")
+    ev = dv.table(spark, d, "events", ["event_id", "user_id", "event_type", "ts"])
     return ev.select("event_id", "user_id", "event_type",
                      change_marker("event_type", ["user_id"], ["ts", "event_id"]).alias("prev_type"))
 
@@ -354,7 +354,7 @@ SELECT event_id, user_id,
            {_EV_W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS last_error_id
 FROM events""")
 def q_w3_forward_fill(spark, d):
-    ev = dv.table(spark, d, "events").select("event_id", "user_id", "event_type", "ts")
+    ev = dv.table(spark, d, "events", ["event_id", "user_id", "event_type", "ts"])
     mark = ev.withColumn("_e", F.when(F.col("event_type") == "error", F.col("event_id")))
     return mark.select("event_id", "user_id", forward_fill("_e", ["user_id"], ["ts", "event_id"]).alias("last_error_id"))
 
@@ -365,7 +365,8 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
                                                           l_extendedprice, l_discount, l_tax, l_shipdate) AS INTEGER) AS seq_nr
 FROM lineitem""")
 def q_w4_sequence_number(spark, d):
-    li = dv.table(spark, d, "lineitem")
+    li = dv.table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                                         "l_extendedprice", "l_discount", "l_tax", "l_shipdate"])
     out = sequence_number(
         li, ["l_orderkey"],
         ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"],
@@ -377,7 +378,7 @@ def q_w4_sequence_number(spark, d):
 SELECT CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) + 1000 AS BIGINT) AS id, o_orderkey, o_orderdate
 FROM orders""")
 def q_w5_dense_ids(spark, d):
-    o = dv.table(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    o = dv.table(spark, d, "orders", ["o_orderkey", "o_orderdate"])
     return with_dense_ids(o, ["o_orderdate", "o_orderkey"], "id", start=1000).select("id", "o_orderkey", "o_orderdate")
 
 
@@ -406,7 +407,7 @@ SELECT CAST(COALESCE(MAX(o_orderkey), 0) AS BIGINT) AS last_id,
        (SELECT CAST(COALESCE(MAX(o_orderkey), 0) AS BIGINT) FROM orders WHERE o_orderstatus = 'none') AS empty_last_id
 FROM orders""")
 def q_a3_max_id(spark, d):
-    o = dv.table(spark, d, "orders")
+    o = dv.table(spark, d, "orders", ["o_orderkey", "o_orderstatus"])
     full = max_id(o, "o_orderkey", "last_id")
     empty = max_id(o.filter(F.col("o_orderstatus") == "none"), "o_orderkey", "empty_last_id")
     return full.select("last_id", empty.select("empty_last_id").scalar().alias("empty_last_id"))
@@ -506,6 +507,11 @@ r AS (SELECT *, row_number() OVER (PARTITION BY line_name ORDER BY id) AS rn FRO
 routes_ok AS (SELECT id, line_name, line_nr, name, stops_cnt, created_at FROM r WHERE rn = 1)"""
 
 
+def _routes_doc(spark, d):
+    """The nested routes collection, assembled once per load and materialized."""
+    return delays.materialize(dv.routes_nested(spark, d))
+
+
 @register("c4_routes_load", "C4 A4 W5 P13 P16 E2", f"""WITH {_C4_SQL} SELECT * FROM routes_ok""")
 def q_c4_routes_load(spark, d):
     return loads.load_routes(dv.routes_nested(spark, d)).accepted
@@ -534,17 +540,19 @@ variants AS (
 @register("c5_route_variants_load", "C5 J7 F7 J8 P12 W4 W5 E1", f"""WITH {_C5_SQL}
 SELECT * FROM variants WHERE stop_id IS NOT NULL AND route_id IS NOT NULL""")
 def q_c5_route_variants_load(spark, d):
+    routes = _routes_doc(spark, d)
     stops_ok = loads.load_stops(dv.stops_feed(spark, d)).accepted
-    routes_ok = loads.load_routes(dv.routes_nested(spark, d)).accepted
-    return loads.load_route_variants(dv.routes_nested(spark, d), stops_ok, routes_ok).accepted
+    routes_ok = loads.load_routes(routes).accepted
+    return loads.load_route_variants(routes, stops_ok, routes_ok).accepted
 
 
 @register("f7_not_null_rejects", "F7", f"""WITH {_C5_SQL}
 SELECT * FROM variants WHERE stop_id IS NULL OR route_id IS NULL""")
 def q_f7_not_null_rejects(spark, d):
+    routes = _routes_doc(spark, d)
     stops_ok = loads.load_stops(dv.stops_feed(spark, d)).accepted
-    routes_ok = loads.load_routes(dv.routes_nested(spark, d)).accepted
-    return loads.load_route_variants(dv.routes_nested(spark, d), stops_ok, routes_ok).rejected
+    routes_ok = loads.load_routes(routes).accepted
+    return loads.load_route_variants(routes, stops_ok, routes_ok).rejected
 
 
 _C6_SQL = f"""{_C3_CLEAN},
@@ -613,7 +621,7 @@ marked AS (
 
 
 def _doc_lines(spark, d):
-    docs = dv.table(spark, d, "documents").select("doc_id", "text")
+    docs = dv.table(spark, d, "documents", ["doc_id", "text"])
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = lines.withColumn("pos", (F.col("pos") + 1).cast("int"))
     n = F.length(F.trim("line"))

@@ -34,13 +34,15 @@ ROUTE_B_MUL, ROUTE_B_MOD = 7, 1009
 _SMALL_TABLES = {"region", "nation", "supplier"}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    if name in _SMALL_TABLES:
-        return spark.read.parquet(path)
-    from tramflow.sources.readers import read_parquet
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Scan one driver table.  ``columns`` are projected before a small scan is
+    spread over the cores, so the spreading shuffle carries only those."""
+    from tramflow.sources.readers import ensure_partitions
 
-    return read_parquet(spark, path)
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if columns:
+        df = df.select(*columns)
+    return df if name in _SMALL_TABLES else ensure_partitions(df)
 
 
 def _coord(key: str, base: float, mul: int, span: int) -> Column:
@@ -53,7 +55,7 @@ def _pad(c: Column, width: int) -> Column:
 
 def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(VehicleNumber, Lines, Brigade, Time, Lon, Lat) -- one ping per event."""
-    return pings_from_events(table(spark, sf_dir, "events"))
+    return pings_from_events(table(spark, sf_dir, "events", ["event_id", "ts", "user_id"]))
 
 
 def pings_from_events(ev: DataFrame) -> DataFrame:
@@ -102,7 +104,7 @@ def route_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def timetable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(Lines, Route, StopNo, dep_sec, Order, DayType, Unit) -- stop join on the supplier key."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_suppkey"])
     st = stops(spark, sf_dir).select("s_suppkey", "stop_nr", "unit", "line_nr")
     j = li.join(st, li["l_suppkey"] == st["s_suppkey"])
     return j.select(
@@ -121,7 +123,7 @@ def timetable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def calendar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(day, day_types) for every date that has events."""
-    days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day")).distinct()
+    days = table(spark, sf_dir, "events", ["ts"]).select(F.to_date("ts").alias("day")).distinct()
     dow = (F.weekday("day") + 1).cast("string")
     types = (
         F.when(F.dayofmonth("day") == 15, F.array(F.lit("TS"), F.lit("NO")))
@@ -232,7 +234,8 @@ def stops_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat route stops from line items: one line document per order, one route
     per return flag, stops in line-number order."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_returnflag", "l_suppkey", "l_partkey", "l_quantity",
+                                           "l_linenumber", "l_extendedprice"])
     return li.select(
         F.col("l_orderkey").alias("doc_id"),
         (F.col("l_orderkey") % ROUTE_LINE_MOD).cast("string").alias("line_nr"),
