@@ -45,11 +45,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     context) is used as is.  Only when neither exists -- local runs and tests --
     a fresh scratch folder is created and set.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions manage checkpoints server-side
+        return configured or ""
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return configured

@@ -82,9 +82,8 @@ def ensure_partitions(df: DataFrame, min_partitions: int | None = None) -> DataF
     narrow step before the first shuffle on one core.  Large inputs already
     arrive in many splits, so this is a no-op at scale.
     """
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
     try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
         return df
