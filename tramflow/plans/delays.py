@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tramflow.functions.calendar import day_type
 from tramflow.functions.timeofday import band_bound, seconds_of_day, seconds_to_hms
 from tramflow.operators.bandjoin import band_join
+from tramflow.operators.broadcast import broadcast_if_small
 from tramflow.operators.nearest import nearest_match
 from tramflow.operators.windows import previous_distinct
 from tramflow.session import ensure_checkpoint_dir
@@ -47,7 +48,7 @@ def trams_stops(
     route_stops: DataFrame,
     *,
     cell_deg: float | str | None = "auto",
-    levels=(1,),
+    levels=(1, 8),
     max_distance: float | None = None,
     lower: int = BAND_LOWER_SEC,
     upper: int = BAND_UPPER_SEC,
@@ -159,7 +160,9 @@ def routes_order(route_stops: DataFrame, chunk: int | None = 256) -> DataFrame:
     ).distinct()
 
 
-def direction(prev: DataFrame, order: DataFrame, keep_only_matched: bool = False) -> DataFrame:
+def direction(
+    prev: DataFrame, order: DataFrame, keep_only_matched: bool = False, route_order_rows: int | None = 2_000_000
+) -> DataFrame:
     """Route direction: left join on (line, stop, previous stop) (J6, F5 opt-in).
 
     A (line, stop, previous stop) present in several routes yields one row per
@@ -169,6 +172,7 @@ def direction(prev: DataFrame, order: DataFrame, keep_only_matched: bool = False
         F.col("line_nr"), F.col("stop_nr"), F.col("StopName").alias("Stop_Name"),
         F.col("route_nr").alias("Direction"), F.col("PrevCorrected"),
     )
+    ro = broadcast_if_small(ro, route_order_rows)
     cond = [
         prev["Lines"] == ro["line_nr"],
         prev["StopNo"] == ro["stop_nr"],
