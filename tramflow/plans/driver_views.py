@@ -53,6 +53,13 @@ def _pad(c: Column, width: int) -> Column:
     return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
 
 
+def _whole_second(ts: str) -> Column:
+    """Wall-clock time cut to whole seconds, without passing through the
+    session time zone (so no shift inside daylight-saving gaps)."""
+    t = F.col(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
+
+
 def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(VehicleNumber, Lines, Brigade, Time, Lon, Lat) -- one ping per event."""
     return pings_from_events(table(spark, sf_dir, "events", ["event_id", "ts", "user_id"]))
@@ -64,7 +71,7 @@ def pings_from_events(ev: DataFrame) -> DataFrame:
         F.col("user_id").cast("string").alias("VehicleNumber"),
         (F.col("user_id") % N_LINES).cast("string").alias("Lines"),
         (F.col("user_id") % N_BRIGADES).cast("string").alias("Brigade"),
-        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("Time"),
+        _whole_second("ts").alias("Time"),
         _coord("event_id", LON0, PING_LON_MUL, PING_LON_SPAN).alias("Lon"),
         _coord("event_id", LAT0, PING_LAT_MUL, PING_LAT_SPAN).alias("Lat"),
     )
