@@ -598,6 +598,26 @@ def q_c7_trams_load(spark, d):
     return loads.trams_rows(dv.pings(spark, d)).select("id", "vehicle_nr", "brigade", "line_nr", "created_at")
 
 
+@register("t3_stream_state_load", "T1 T3 C7 S8 A3", f"""WITH {_C7_SQL}
+SELECT id, vehicle_nr, brigade, line_nr, created_at FROM trams""")
+def q_t3_stream_state_load(spark, d):
+    """The events table as a file stream loaded by the idempotent foreachBatch
+    state load; one file is one micro-batch, so ids start at 1."""
+    import uuid
+
+    from tramflow.session import ensure_checkpoint_dir
+    from tramflow.streaming import load_snapshots
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/t3-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{d}/events.parquet")
+    stream = spark.readStream.schema(events.schema).parquet(f"{d}/event[s].parquet")
+    q = load_snapshots(dv.pings_from_events(stream), f"{base}/db", f"{base}/checkpoint")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{base}/db/trams").select("id", "vehicle_nr", "brigade", "line_nr", "created_at")
+
+
 @register("p19_tram_states", "P19 C7", f"""WITH {_C7_SQL}
 SELECT id, Time AS current_tram_time, CAST(NULL AS VARCHAR) AS stop_state, id AS tram_id,
        CAST(NULL AS BIGINT) AS route_variant_id, Lon AS tram_longitude, Lat AS tram_latitude,

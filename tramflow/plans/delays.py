@@ -141,12 +141,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def previous_stops(results: DataFrame, split_hours: bool = True) -> DataFrame:
-    """Previous distinct stop of each vehicle on each date and line."""
+def previous_stops(results: DataFrame, split_seconds: int | None = 3600) -> DataFrame:
+    """Previous distinct stop of each vehicle on each date and line.
+
+    ``split_seconds`` chunks each vehicle-day by time of day so one busy
+    vehicle is spread over tasks (``None``: one window per vehicle-day).
+    """
+    chunk = None
+    if split_seconds:
+        sod = F.hour("Time") * 3600 + F.minute("Time") * 60 + F.second("Time")
+        chunk = F.floor(sod / F.lit(int(split_seconds)))
     return previous_distinct(
         results, "StopName", ["Date", "Lines", "VehicleNumber"], RESULT_ORDER,
-        out="PrevStopCorrected",
-        split_by=F.hour("Time") if split_hours else None,
+        out="PrevStopCorrected", split_by=chunk,
     )
 
 
