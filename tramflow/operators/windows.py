@@ -65,8 +65,11 @@ def previous_distinct(
             out, F.last("_chg", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         ).drop("_chg")
 
-    parts = list(partition_by) + ["_chunk"]
-    d1 = df.withColumn("_chunk", split_by)
+    # The group key is packed into one struct: struct equality treats NULL
+    # fields as equal, so the join back below is a plain equi-join on the
+    # same columns the window is partitioned by (no second shuffle of the rows).
+    d1 = df.withColumn("_pk", F.struct(*[F.col(c) for c in partition_by])).withColumn("_chunk", split_by)
+    parts = ["_pk", "_chunk"]
     wc = _w(parts, order_by)
     prev = F.lag(value).over(wc)
     d2 = (
@@ -79,7 +82,7 @@ def previous_distinct(
         F.max_by(F.col(value), F.col("_rn")).alias("_last"),
         F.max_by(F.col("_loc"), F.col("_rn")).alias("_lastchg"),
     )
-    ws = Window.partitionBy(*partition_by).orderBy("_chunk")
+    ws = Window.partitionBy("_pk").orderBy("_chunk")
     prev_last = F.lag("_last").over(ws)
     s2 = summary.withColumn("_bchg", F.when(F.col("_first") != prev_last, prev_last)).withColumn(
         "_end",
@@ -87,13 +90,9 @@ def previous_distinct(
             ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ),
     )
-    s3 = s2.withColumn("_carry", F.lag("_end").over(ws)).select(
-        *[F.col(c).alias(f"_s_{c}") for c in parts], "_bchg", "_carry"
-    )
-    cond = [d2[c].eqNullSafe(s3[f"_s_{c}"]) for c in parts]
+    s3 = s2.withColumn("_carry", F.lag("_end").over(ws)).select(*parts, "_bchg", "_carry")
     return (
-        d2.join(s3, cond, "left")
-        .drop(*[f"_s_{c}" for c in parts])
+        d2.join(s3, parts, "left")
         .withColumn(out, F.coalesce(F.col("_loc"), F.col("_bchg"), F.col("_carry")))
-        .drop("_chunk", "_rn", "_chg", "_loc", "_bchg", "_carry")
+        .drop("_pk", "_chunk", "_rn", "_chg", "_loc", "_bchg", "_carry")
     )
