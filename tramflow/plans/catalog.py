@@ -195,15 +195,42 @@ def q_t5_stream_nearest(spark, d):
     # a file stream needs a folder or a pattern; this one matches only the events file
     stream = spark.readStream.schema(events.schema).parquet(f"{d}/event[s].parquet")
     near = stream_nearest(dedupe_pings(dv.pings_from_events(stream)), delays.stop_candidates(dv.route_stops(spark, d)))
-    q = (near.writeStream.format("parquet").option("path", f"{base}/out")
-         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    # the state store keeps its partition count for the checkpoint's lifetime:
+    # choose it for this stream instead of inheriting the batch setting
+    with _conf(spark, "spark.sql.shuffle.partitions", str(_state_partitions(spark))):
+        q = (near.writeStream.format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.schema(near.schema).parquet(f"{base}/out")
 
 
+def _state_partitions(spark) -> int:
+    try:
+        return max(2 * spark.sparkContext.defaultParallelism, 8)
+    except Exception:  # noqa: BLE001
+        return 16
+
+
+class _conf:
+    """Set one session option for the duration of a block."""
+
+    def __init__(self, spark, key, value):
+        self.spark, self.key, self.value = spark, key, value
+
+    def __enter__(self):
+        self.old = self.spark.conf.get(self.key, None)
+        self.spark.conf.set(self.key, self.value)
+
+    def __exit__(self, *exc):
+        if self.old is None:
+            self.spark.conf.unset(self.key)
+        else:
+            self.spark.conf.set(self.key, self.old)
+
+
 # ---------------------------------------------------------------- dimensions
 
 
