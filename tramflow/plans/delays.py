@@ -92,6 +92,7 @@ def delay_matches(
     upper: int = BAND_UPPER_SEC,
     service_day_sec: int = 93600,
     broadcast_calendar: bool = True,
+    dedupe: bool = True,
 ) -> DataFrame:
     """Departures of the ping's line at its stop complex inside the band.
 
@@ -121,13 +122,14 @@ def delay_matches(
         on=[("Lines", "TT_Lines"), ("Unit", "_tt_unit"), ("_svc_type", "DayType")],
         left_t="_svc_sec", right_t="dep_sec", lower=lower, upper=upper,
     )
-    return joined.select(
+    out = joined.select(
         *TRAMS_STOPS_COLS, "Time",
         "TT_Lines",
         seconds_to_hms("dep_sec").alias("DepTime"),
         "StopNo", "DayType", "Route", "Order",
         (F.col("_svc_sec") - F.col("dep_sec")).cast("int").alias("Delay"),
-    ).distinct()
+    )
+    return out.distinct() if dedupe else out
 
 
 def materialize(df: DataFrame) -> DataFrame:
