@@ -79,7 +79,7 @@ DUMP = """*KA  3
 
 @pytest.fixture(scope="module")
 def dump_path(tmp_path_factory):
-    p = tmp_path_factory.mktemp("dump") / "RA000101.TXT"
+    p = tmp_path_factory.mktemp("dump") / "schedule.txt"
     p.write_bytes(DUMP.encode("iso-8859-1"))
     assert b"\xf3" in p.read_bytes()
     return str(p)
