@@ -200,3 +200,14 @@ def test_nested_roundtrip(spark):
     assert got == [(1, "A", 1, "y"), (1, "A", 2, "x"), (1, "B", 1, "z"), (2, "A", 1, "w")]
     slim = drop_nested(routes, "stops", ["pos"])
     assert slim.schema["stops"].dataType.elementType.fieldNames() == ["s"]
+
+
+def test_nearest_grid_on_stops_along_one_street(spark):
+    # all stops on one parallel: the bounding box has no area
+    stops = [("1", f"s{i:03d}", 21.0 + i * 0.002, 52.2) for i in range(100)]
+    rnd = random.Random(9)
+    pings = [("1", str(i % 3), T0 + dt.timedelta(seconds=i), f"v{i}", 21.0 + rnd.random() * 0.2,
+              52.2 + (rnd.random() - 0.5) * 0.01) for i in range(200)]
+    grid = _nearest(spark, pings, stops, cell_deg="auto", grid_min_candidates=0)
+    plain = _nearest(spark, pings, stops, cell_deg=None)
+    assert sorted(tuple(r) for r in grid.collect()) == sorted(tuple(r) for r in plain.collect())
