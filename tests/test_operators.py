@@ -211,3 +211,10 @@ def test_nearest_grid_on_stops_along_one_street(spark):
     grid = _nearest(spark, pings, stops, cell_deg="auto", grid_min_candidates=0)
     plain = _nearest(spark, pings, stops, cell_deg=None)
     assert sorted(tuple(r) for r in grid.collect()) == sorted(tuple(r) for r in plain.collect())
+
+
+def test_band_join_left_keeps_null_times(spark):
+    left = spark.createDataFrame([("u", 1000), ("u", None)], "k string, t int")
+    right = spark.createDataFrame([("u", 999)], "k2 string, dt int")
+    got = sorted(((r["t"] is None, r["dt"]) for r in band_join(left, right, [("k", "k2")], "t", "dt", how="left").collect()), key=repr)
+    assert got == sorted([(False, 999), (True, None)], key=repr)

@@ -446,10 +446,11 @@ clean AS (
          latitude AS stop_latitude, direction AS street, unit, post, TIMESTAMP '2024-01-01 00:00:00' AS created_at
   FROM ({dv.STOPS_FEED_SQL}) f
   WHERE NOT coalesce(regexp_matches(unit, '^R'), false)),
+clean_nn AS (SELECT * FROM clean WHERE id IS NOT NULL),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY unit NULLS FIRST, post NULLS FIRST, full_name NULLS FIRST,
                                stop_longitude NULLS FIRST, stop_latitude NULLS FIRST, street NULLS FIRST) AS rn
-  FROM clean)"""
+  FROM clean_nn)"""
 
 _C3_COLS = "id, full_name, stop_longitude, stop_latitude, street, unit, post, created_at"
 
@@ -462,7 +463,8 @@ def q_c3_stops_load(spark, d):
 
 @register("c3_stops_counts", "A4 A6 A7", f"""WITH {_C3_CLEAN}
 SELECT CAST(count(*) FILTER (WHERE rn = 1) AS BIGINT) AS accepted,
-       CAST(count(*) FILTER (WHERE rn > 1) AS BIGINT) AS rejected,
+       CAST(count(*) FILTER (WHERE rn > 1) AS BIGINT)
+         + (SELECT CAST(count(*) AS BIGINT) FROM clean WHERE id IS NULL) AS rejected,
        (SELECT CAST(count(*) AS BIGINT) FROM supplier) AS input_rows,
        (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT unit, post FROM ({dv.STOPS_FEED_SQL}) f) u) AS distinct_unit_post
 FROM ranked""")
