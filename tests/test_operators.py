@@ -218,3 +218,17 @@ def test_band_join_left_keeps_null_times(spark):
     right = spark.createDataFrame([("u", 999)], "k2 string, dt int")
     got = sorted(((r["t"] is None, r["dt"]) for r in band_join(left, right, [("k", "k2")], "t", "dt", how="left").collect()), key=repr)
     assert got == sorted([(False, 999), (True, None)], key=repr)
+
+
+def test_band_join_left_matches_brute_force(spark):
+    rnd = random.Random(6)
+    left = [(str(rnd.randrange(2)), rnd.randrange(0, 20000)) for _ in range(200)] + [("0", None)]
+    right = [(str(rnd.randrange(2)), rnd.randrange(0, 20000)) for _ in range(300)]
+    expect = []
+    for a, t in left:
+        hits = [b for k, b in right if t is not None and k == a and t - 600 < b < t + 180]
+        expect += [(a, t, b) for b in hits] or [(a, t, None)]
+    ldf = spark.createDataFrame(left, "k string, t int")
+    rdf = spark.createDataFrame(right, "k2 string, dt int")
+    got = [(r["k"], r["t"], r["dt"]) for r in band_join(ldf, rdf, [("k", "k2")], "t", "dt", how="left").collect()]
+    assert sorted(got, key=repr) == sorted(expect, key=repr)
