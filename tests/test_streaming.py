@@ -99,3 +99,35 @@ def test_state_load_idempotent(spark, scratch):
         assert sorted(r["id"] for r in trams.select("id").collect()) == list(range(1, total + 1))
         assert states.join(trams, states["tram_id"] == trams["id"], "left_anti").count() == 0
         assert states.filter("stop_state IS NOT NULL OR distance IS NOT NULL OR is_depot IS NOT NULL").count() == 0
+
+
+def test_late_snapshot_is_dropped(spark, scratch):
+    """A snapshot arriving after the watermark passed its pings adds nothing."""
+    snaps = os.path.join(scratch, "in")
+    os.makedirs(snaps)
+    cands = delays.stop_candidates(dv.route_stops(spark, SF001))
+    line = cands.select("line_nr").first()[0]
+
+    def write(name, when, veh):
+        with open(os.path.join(snaps, name), "w") as f:
+            json.dump({"result": [{"VehicleNumber": veh, "Lines": line, "Brigade": "1", "Time": when,
+                                   "Lon": 21.0, "Lat": 52.2}]}, f)
+
+    out = os.path.join(scratch, "near")
+    ck = os.path.join(scratch, "ck")
+
+    def run_once():
+        stream = dedupe_pings(ping_stream(spark, snaps, max_files_per_trigger=1))
+        q = (stream_nearest(stream.drop("CurrTramTime", "DateText"), cands).writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", ck).outputMode("append")
+             .trigger(availableNow=True).start())
+        _run(q)
+
+    write("a.json", "2024-01-01 08:00:00", "on-time")
+    write("b.json", "2024-01-01 09:00:00", "advances-watermark")
+    run_once()
+    write("c.json", "2024-01-01 08:30:00", "late")  # 30 min behind the 09:00 ping, watermark 10 min
+    write("d.json", "2024-01-01 10:00:00", "advances-again")
+    run_once()
+    got = sorted(r["VehicleNumber"] for r in spark.read.parquet(out).collect())
+    assert got == ["advances-watermark", "on-time"]
