@@ -147,3 +147,24 @@ def test_reference_import_writes_collections(spark, dump_path, scratch):
     # replacing again keeps one copy
     run_import(spark, dump_path, feed_path, os.path.join(scratch, "collections"))
     assert spark.read.parquet(paths["Timetable"]).count() == 5
+
+
+def test_route_without_stops_keeps_empty_array(spark, tmp_path):
+    text = """   Linia:   4  - LINIA TRAMWAJOWA
+      *TR  2
+         TP-E  ,  A  ==>  B
+            *LW  0
+            #LW
+         TP-F  ,  B  ==>  A
+            *LW  1
+                 400101   Only,   --  | 2|  |
+            #LW
+   #WK
+"""
+    p = tmp_path / "empty_route.txt"
+    p.write_bytes(text.encode("iso-8859-1"))
+    (doc,) = parse_routes(spark, str(p)).collect()
+    assert doc["line_nr"] == "4" and doc["number_of_routes"] == 2
+    e, f = doc["routes"]
+    assert (e["route_nr"], e["number_of_stops"], list(e["stops"])) == ("TP-E", 0, [])
+    assert [tuple(x) for x in f["stops"]] == [("400101", "Only", "", False, 2, 0)]

@@ -20,6 +20,7 @@ from tramflow.sources.schedule_text import (
     parse_calendar,
     read_records,
     record_lines,
+    route_headers,
     route_stop_lines,
     routes_documents,
     tokenize_stops,
@@ -43,7 +44,7 @@ def run_import(
         "Timetable": departures(line_sections(lines)),
         "Calendar": parse_calendar(spark, dump_path, encoding),
         "Stops": read_stops_feed(spark, stops_feed_path),
-        "Routes": routes_documents(tokenize_stops(route_stop_lines(lines))),
+        "Routes": routes_documents(tokenize_stops(route_stop_lines(lines)), route_headers(lines)),
     }
     paths = {}
     for name, df in outputs.items():

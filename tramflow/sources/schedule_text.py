@@ -188,12 +188,9 @@ def parse_calendar(spark: SparkSession, path: str, encoding: str = DEFAULT_ENCOD
 
 # ------------------------------------------------------------------ X5-X7
 
-def route_stop_lines(lines: DataFrame) -> DataFrame:
-    """Stop lines of every ``*LW`` block with their route and line.
-
-    Only sections whose header is a tram line (``TRAMWAJOWA``, not ``T``/``36``)
-    count.  The route number is the first token of the line before ``*LW``.
-    """
+def _route_marks(lines: DataFrame) -> DataFrame:
+    """Per line: the section's tram-line header, route count, and the current
+    ``*LW`` block (its position, size and route number)."""
     line = F.col("line")
     toks = _tokens(line)
     w = Window.partitionBy("_rec").orderBy("pos")
@@ -202,6 +199,7 @@ def route_stop_lines(lines: DataFrame) -> DataFrame:
     is_lw = line.contains(STOPS_START)
     d = (
         lines.withColumn("_toks", toks)
+        .withColumn("_is_lw", is_lw)
         .withColumn("_head_nr", F.last(F.when(is_head, _tok(toks, 2)), ignorenulls=True).over(wr))
         .withColumn("_n_routes", F.last(F.when(line.contains(ROUTES_MARKER), _tok(toks, 2).try_cast("int")), ignorenulls=True).over(wr))
         .withColumn("_prev_first", F.lag(_tok(toks, 1)).over(w))
@@ -209,10 +207,9 @@ def route_stop_lines(lines: DataFrame) -> DataFrame:
         .withColumn("_lw_n", F.last(F.when(is_lw, _tok(toks, 2).try_cast("int")), ignorenulls=True).over(wr))
         .withColumn("_route", F.last(F.when(is_lw, F.col("_prev_first")), ignorenulls=True).over(wr))
     )
-    k = F.col("pos") - F.col("_lw_pos")
     ok_line = F.col("_head_nr").isNotNull() & ~F.col("_head_nr").isin(*EXCLUDED_LINES)
-    return d.filter(ok_line & (k >= 1) & (k <= F.col("_lw_n"))).select(
-        "_rec", "pos", "line", "_toks",
+    return d.filter(ok_line).select(
+        "_rec", "pos", "line", "_toks", "_is_lw",
         F.col("_head_nr").alias("line_nr"),
         F.col("_n_routes").alias("number_of_routes"),
         F.col("_lw_pos").alias("route_pos"),
@@ -221,6 +218,25 @@ def route_stop_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def route_headers(lines: DataFrame) -> DataFrame:
+    """One row per ``*LW`` block of a tram line: the route, even with no stops."""
+    marks = _route_marks(lines)
+    return marks.filter(F.col("_is_lw")).select(
+        "_rec", "line_nr", "number_of_routes", "route_pos", "route_nr", "number_of_stops"
+    )
+
+
+def route_stop_lines(lines: DataFrame) -> DataFrame:
+    """Stop lines of every ``*LW`` block with their route and line.
+
+    Only sections whose header is a tram line (``TRAMWAJOWA``, not ``T``/``36``)
+    count.  The route number is the first token of the line before ``*LW``.
+    """
+    marks = _route_marks(lines)
+    k = F.col("pos") - F.col("route_pos")
+    return marks.filter((k >= 1) & (k <= F.col("number_of_stops"))).drop("_is_lw")
+
+
 def _remove_first(text: Column, part: Column) -> Column:
     at = F.instr(text, part)
     head = F.substr(text, F.lit(1), at - 1)
@@ -286,14 +302,18 @@ def tokenize_stops(stop_lines: DataFrame) -> DataFrame:
     )
 
 
-def routes_documents(stops: DataFrame) -> DataFrame:
-    """Nest stops into routes into one document per line section (A5)."""
-    routes = assemble(
-        stops,
-        ["_rec", "line_nr", "number_of_routes", "route_pos", "route_nr", "number_of_stops"],
-        ["stop_nr", "stop_name", "street", "r_flag", "min_time", "max_time"],
-        ["pos"],
-        "stops",
+def routes_documents(stops: DataFrame, headers: DataFrame) -> DataFrame:
+    """Nest stops into routes into one document per line section (A5).
+
+    Routes come from the ``*LW`` headers, so a route without stops keeps an
+    empty stops array.
+    """
+    stop_arrays = assemble(
+        stops, ["_rec", "route_pos"], ["stop_nr", "stop_name", "street", "r_flag", "min_time", "max_time"], ["pos"], "stops"
+    )
+    empty = F.array().cast(stop_arrays.schema["stops"].dataType)
+    routes = headers.join(stop_arrays, ["_rec", "route_pos"], "left").withColumn(
+        "stops", F.coalesce(F.col("stops"), empty)
     )
     lines = assemble(
         routes, ["_rec", "line_nr", "number_of_routes"], ["route_nr", "number_of_stops", "stops"], ["route_pos"], "routes"
@@ -302,4 +322,5 @@ def routes_documents(stops: DataFrame) -> DataFrame:
 
 
 def parse_routes(spark: SparkSession, path: str, encoding: str = DEFAULT_ENCODING) -> DataFrame:
-    return routes_documents(tokenize_stops(route_stop_lines(_section_lines(spark, path, encoding))))
+    lines = _section_lines(spark, path, encoding)
+    return routes_documents(tokenize_stops(route_stop_lines(lines)), route_headers(lines))
