@@ -29,9 +29,9 @@ def canon(v):
     if isinstance(v, float):
         if math.isnan(v):
             return ("nan",)
-        return ("f", round(v, 9))
+        return ("f", repr(v))
     if isinstance(v, (int, decimal.Decimal)):
-        return ("f", round(float(v), 9))
+        return ("f", repr(float(v)))
     if isinstance(v, dt.datetime):
         return ("ts", v.replace(tzinfo=None).isoformat())
     if isinstance(v, dt.date):
