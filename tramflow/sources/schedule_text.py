@@ -80,9 +80,10 @@ def record_lines(records: DataFrame) -> DataFrame:
         F.min(F.struct("_block", "_rec")).getField("_rec").alias("_first_rec"),
         F.max(F.struct("_block", "_rec")).getField("_rec").alias("_last_rec"),
     )
+    parts = F.split(F.col("text"), r"\r?\n")
     lines = records.select(
-        "_file", "_block", "_rec", F.posexplode(F.split(F.col("text"), r"\r?\n")).alias("pos", "line")
-    ).withColumn("_n", F.max("pos").over(Window.partitionBy("_rec")))
+        "_file", "_block", "_rec", (F.size(parts) - 1).alias("_n"), F.posexplode(parts).alias("pos", "line")
+    )
     lines = lines.join(F.broadcast(ends), "_file")
     keep = ((F.col("pos") > 0) | (F.col("_rec") == F.col("_first_rec"))) & (
         (F.col("pos") < F.col("_n")) | (F.col("_rec") == F.col("_last_rec"))
