@@ -44,9 +44,12 @@ trams AS (
 
 CTE_RESULTS = f"""{CTE_TRAMS},
 svc AS (
-  SELECT t.*, CAST(t.Date - o.off AS DATE) AS svc_day,
-         hour(t.Time) * 3600 + minute(t.Time) * 60 + second(t.Time) + o.off * 86400 AS svc_sec
-  FROM trams t CROSS JOIN (VALUES (0), (1)) o(off)),
+  SELECT t.*, t.Date AS svc_day, hour(t.Time) * 3600 + minute(t.Time) * 60 + second(t.Time) AS svc_sec
+  FROM trams t
+  UNION ALL
+  SELECT t.*, CAST(t.Date - 1 AS DATE) AS svc_day,
+         hour(t.Time) * 3600 + minute(t.Time) * 60 + second(t.Time) + 86400 AS svc_sec
+  FROM trams t),
 cal AS ({CALENDAR_SQL}),
 tt AS ({TIMETABLE_SQL}),
 res AS (
