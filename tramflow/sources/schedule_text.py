@@ -266,15 +266,17 @@ def tokenize_stops(stop_lines: DataFrame) -> DataFrame:
             ),
         ).otherwise(toks),
     )
-    digit_idx = F.array_position(F.transform(data, lambda t: t.rlike(r"^[0-9]+$")), True).cast("int")
-    starts_digit = F.coalesce(F.element_at(data, 1).rlike(r"^[0-9]+$"), F.lit(False))
-    own_street = F.when(
-        ~starts_digit,
-        F.concat(F.array_join(F.slice(data, 1, F.when(digit_idx > 0, digit_idx - 1).otherwise(F.size(data))), " "), F.lit(" ")),
-    )
+    # tokens joined by single spaces: the first all-digit token and the whole
+    # tokens before it (each followed by its space) come from two expressions
+    joined = F.array_join(data, " ")
+    first_number = F.regexp_extract(joined, r"(?:^| )([0-9]+)(?= |$)", 1)
+    before_number = F.regexp_extract(joined, r"^((?:[^ ]+ )*?)[0-9]+(?: |$)", 1)
+    has_number = first_number != ""
+    starts_digit = joined.rlike(r"^[0-9]+( |$)")
+    own_street = F.when(~starts_digit, F.when(has_number, before_number).otherwise(F.concat(joined, F.lit(" "))))
     w = Window.partitionBy("_rec", "route_pos").orderBy("pos").rowsBetween(*_ROWS)
     d = (
-        d.withColumn("stop_nr", F.when(digit_idx > 0, F.element_at(data, digit_idx)))
+        d.withColumn("stop_nr", F.when(has_number, first_number))
         .withColumn("_own_street", own_street)
         .withColumn("_street_raw", F.coalesce(F.last("_own_street", ignorenulls=True).over(w), F.lit("")))
     )
