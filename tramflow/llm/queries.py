@@ -4,12 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramflow.llm import mixing, rule_cascade
+from tramflow.llm import byte_bpe, fingerprints, mixing, rule_cascade
 from tramflow.llm.common import documents
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_study(documents(spark, sf_dir))
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encoded(documents(spark, sf_dir), public_tokenizers.path(byte_bpe.VOCABULARY))
+
+
 def op9_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.cascade(documents(spark, sf_dir))
 
@@ -19,7 +28,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op9_rule_cascade, op10_mixing)}
+    return {f.__name__: f for f in (op1_fingerprints, op3_byte_bpe, op9_rule_cascade, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
