@@ -7,7 +7,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A word is a run of anything but ASCII blanks (fixed by the result contract).
@@ -121,3 +122,23 @@ def powers(n: int) -> np.ndarray:
     while size < n:
         size *= 4
     return _powers(size)[:n]
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """True for the fold that no model learns from: crc32 of the id as text, mod 3, is 1. A null id is in it."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(True))
+
+
+def training_rows(docs: DataFrame, marks: DataFrame, column: str, per_class: int, max_chars: int) -> DataFrame:
+    """``doc_id, text, lang, label`` of a bounded training sample outside the held-out fold.
+
+    The ``per_class`` ids of each class with the smallest hashes are taken; of their texts those
+    of at most ``max_chars`` code points, and no more rows than ids. Null labels are left out; of
+    repeated labels of one id the largest holds. The chosen ids are few enough to broadcast.
+    """
+    known = marks.where(F.col(column).isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max(column).cast("int").alias("label"))
+    parts = [known.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for v in (0, 1)]
+    chosen = F.broadcast(parts[0].unionByName(parts[1]))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *(["lang"] if "lang" in docs.columns else []))
+    return texts.where(F.char_length("text") <= max_chars).join(chosen, "doc_id").limit(2 * per_class)
+

@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramflow.llm import byte_bpe, fingerprints, mixing, rule_cascade
-from tramflow.llm.common import documents
+from tramflow.llm import byte_bpe, fingerprints, mixing, quality_mil, rule_cascade, toxicity_cnn
+from tramflow.llm.common import documents, labels
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoded(documents(spark, sf_dir), public_tokenizers.path(byte_bpe.VOCABULARY))
 
 
+def op4_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mil.scored(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_cnn.scored(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op9_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.cascade(documents(spark, sf_dir))
 
@@ -28,7 +36,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op3_byte_bpe, op9_rule_cascade, op10_mixing)}
+    return {f.__name__: f for f in (op1_fingerprints, op3_byte_bpe, op4_quality_mil, op6_toxicity_cnn, op9_rule_cascade, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
