@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tramflow.llm.common import chunks, id_and_text, mix64, powers, span_hashes, text_bytes, word_spans
+from tramflow.llm.common import chunks, id_and_text, mix64, powers, ragged, span_hashes, text_bytes, word_spans
 from tramflow.llm.fingerprints import fixed_binary
 from tramflow.llm.components import components
 from tramflow.session import ensure_checkpoint_dir
@@ -31,7 +31,7 @@ BANDS, ROWS = 24, 4
 #: Comparisons with a bucket's central nodes before its remaining pairs are listed.
 STAR_ROUNDS = 2
 #: Nodes in a block of such a listing, and the agreeing registers that its pairs need.
-BLOCK, AGREE = 512, 60
+BLOCK, BLOCK_CHARS, AGREE = 512, 2 << 20, 60
 REGISTERS = BANDS * ROWS
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -123,14 +123,17 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, node long, bands array<long>, marks binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``a, b`` whose texts reach the similarity. ``chosen`` names one document for each node.
-
-    Only documents of some pair are read on, one for each node.
-    """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(chosen, "node")
+def node_texts(nodes: DataFrame, docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``node, text`` for the nodes given. ``chosen`` names one document for each node, so copies are not moved."""
+    needed = nodes.join(chosen, "node")
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("node", node_of(F.col("text")))
-    texts = texts.join(needed, ["doc_id", "node"], "left_semi").dropDuplicates(["node"]).select("node", "text").checkpoint()
+    same = F.col("t.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("t.node") == F.col("n.node"))
+    return texts.alias("t").join(needed.alias("n"), same, "left_semi").dropDuplicates(["node"]).select("node", "text").checkpoint()
+
+
+def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``a, b`` whose texts reach the similarity; only documents of some pair are read on."""
+    texts = node_texts(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,33 +146,57 @@ def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, similarity: f
     return both.select("a", "b", "left_text", "right_text").mapInArrow(run, "a long, b long").checkpoint()
 
 
-def alike(opened: DataFrame, marks: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of one bucket and different components whose registers agree as those of linked texts do.
+def block_links(opened: DataFrame, signed: DataFrame, docs: DataFrame, chosen: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` among all pairs of one bucket and different components.
 
-    A bucket's nodes are dealt into blocks of about ``BLOCK``, and each pair of blocks is one row, compared
-    in numpy. ``AGREE`` lies 4.3 standard deviations below what a similarity of 0.8 gives: as
-    sure to keep a link as the bands themselves.
+    A bucket's nodes are dealt into blocks of about ``BLOCK`` nodes or ``BLOCK_CHARS`` of text, and each pair of
+    blocks is one row, compared in numpy: in the first band two nodes share, and exactly where their
+    registers agree as those of linked texts do. ``AGREE`` lies 4.3 standard deviations below what
+    a similarity of 0.8 gives, so this keeps a link as surely as the bands themselves.
     """
-    rows = opened.join(marks, "node")
-    count = opened.groupBy("band", "key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    nodes = opened.select("node").distinct()
+    marks = signed.join(nodes, "node", "left_semi").select("node", "bands", "marks").dropDuplicates(["node"])
+    rows = opened.join(marks.join(node_texts(nodes, docs, chosen), "node"), "node")
+    most = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.char_length("text")) / BLOCK_CHARS)
+    count = rows.groupBy("band", "key").agg(F.ceil(most).alias("blocks"))
     dealt = rows.join(count, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    blocks = dealt.groupBy("band", "key", "block").agg(F.collect_list(F.struct("node", "label", "marks")).alias("l"))
-    left = blocks.select("band", "key", F.col("block").alias("i"), *[F.col(f"l.{c}").alias(f"{c}_a") for c in ("node", "label", "marks")])
-    right = blocks.select("band", "key", F.col("block").alias("j"), *[F.col(f"l.{c}").alias(f"{c}_b") for c in ("node", "label", "marks")])
+    fields = ("node", "label", "bands", "marks", "text")
+    blocks = dealt.groupBy("band", "key", "block").agg(F.collect_list(F.struct(*fields)).alias("l"))
+    left = blocks.select("band", "key", F.col("block").alias("i"), *[F.col(f"l.{c}").alias(f"{c}_a") for c in fields])
+    right = blocks.select("band", "key", F.col("block").alias("j"), *[F.col(f"l.{c}").alias(f"{c}_b") for c in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(len(batch)):
-                row = {name: batch.column(name)[r].values for name in batch.schema.names}
-                a, la, b, lb = (row[c].to_numpy() for c in ("node_a", "label_a", "node_b", "label_b"))
-                x, y = (np.frombuffer(b"".join(row[c].to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in ("marks_a", "marks_b"))
-                for k in range(len(a)):
-                    hit = b[((y == x[k]).sum(axis=1) >= AGREE) & (lb != la[k])]
-                    if len(hit):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(hit, a[k])), pa.array(np.maximum(hit, a[k]))], ["a", "b"])
+                found = compare_blocks({name: batch.column(name)[r].values for name in batch.schema.names if name != "band"}, batch.column("band")[r].as_py(), similarity)
+                if len(found):
+                    yield pa.RecordBatch.from_arrays([pa.array(found.min(axis=1)), pa.array(found.max(axis=1))], ["a", "b"])
 
     both = left.join(right, ["band", "key"]).where("i <= j")
-    return both.select(*[f"{c}_{s}" for c in ("node", "label", "marks") for s in "ab"]).mapInArrow(run, "a long, b long").distinct()
+    return both.select("band", *[f"{c}_{s}" for c in fields for s in "ab"]).mapInArrow(run, "a long, b long").distinct().checkpoint()
+
+
+def compare_blocks(row: dict[str, pa.Array], band: int, similarity: float) -> np.ndarray:
+    """Linked pairs of nodes, one of each block."""
+    a, la, b, lb = (row[c].to_numpy() for c in ("node_a", "label_a", "node_b", "label_b"))
+    x, y = (np.frombuffer(b"".join(row[c].to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in ("marks_a", "marks_b"))
+    p, q = (row[c].flatten().to_numpy().reshape(-1, BANDS)[:, :band] for c in ("bands_a", "bands_b"))
+    of, element, _ = shingles(row["text_b"])
+    order = np.argsort(element, kind="stable")
+    element, of = element[order], of[order]
+    size = np.bincount(of, minlength=len(b))
+    own, wanted, _ = shingles(row["text_a"])
+    edge = np.searchsorted(own, np.arange(len(a) + 1))
+    out = []
+    for k in range(len(a)):
+        near = (lb != la[k]) & ((y == x[k]).sum(axis=1) >= AGREE) & ~(q == p[k]).any(axis=1)
+        if near.any():
+            e = wanted[edge[k] : edge[k + 1]]
+            low, high = np.searchsorted(element, e, side="left"), np.searchsorted(element, e, side="right")
+            both = np.bincount(of[ragged(low, high - low)], minlength=len(b))
+            near &= both >= similarity * (size + len(e) - both)
+            out += [(a[k], other) for other in b[near]]
+    return np.array(out, np.int64).reshape(-1, 2)
 
 
 def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY, rounds: int = STAR_ROUNDS) -> DataFrame:
@@ -189,14 +216,14 @@ def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARIT
     shared = shared.join(weight, "node").checkpoint()
     opened, links, used = shared.withColumn("label", F.col("node")), None, None
     for step in range(rounds + 1):
-        if step < rounds:
+        if step < rounds:  # a bucket's next central node
             free = opened if used is None else opened.join(used, ["band", "key", "node"], "left_anti")
             rep = free.groupBy("band", "key").agg(F.max(F.struct("weight", "node", "label")).alias("r")).select("band", "key", F.col("r.node").alias("rep"), F.col("r.label").alias("rep_label"))
             pairs = opened.join(rep, ["band", "key"]).where("label <> rep_label").select(F.least("node", "rep").alias("a"), F.greatest("node", "rep").alias("b"))
             now = rep.select("band", "key", F.col("rep").alias("node"))
             used = (now if used is None else used.unionByName(now)).checkpoint()
         else:
-            pairs = alike(opened, signed.select("node", "marks").dropDuplicates(["node"]))
+            return links.unionByName(block_links(opened, signed, docs, chosen, similarity))
         found = verified(pairs.distinct().checkpoint(), docs, chosen, similarity)
         links = found if links is None else links.unionByName(found).checkpoint()
         label = components(links)
