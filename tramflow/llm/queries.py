@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramflow.llm import byte_bpe, fingerprints, mixing, probminhash, quality_mil, rule_cascade, toxicity_cnn
+from tramflow.llm import byte_bpe, fingerprints, mixing, probminhash, quality_mil, rule_cascade, suffix_dedup, toxicity_cnn
 from tramflow.llm.common import documents, labels
 
 
@@ -31,6 +31,10 @@ def op7_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(documents(spark, sf_dir))
+
+
 def op9_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_cascade.cascade(documents(spark, sf_dir))
 
@@ -40,7 +44,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op3_byte_bpe, op4_quality_mil, op6_toxicity_cnn, op7_probminhash, op9_rule_cascade, op10_mixing)}
+    return {f.__name__: f for f in (op1_fingerprints, op3_byte_bpe, op4_quality_mil, op6_toxicity_cnn, op7_probminhash, op8_suffix_dedup, op9_rule_cascade, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
