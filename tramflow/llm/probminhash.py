@@ -31,7 +31,7 @@ BANDS, ROWS = 24, 4
 #: Comparisons with a bucket's central nodes before its remaining pairs are listed.
 STAR_ROUNDS = 2
 #: Nodes in a block of such a listing, and the agreeing registers that its pairs need.
-BLOCK, BLOCK_CHARS, AGREE = 512, 2 << 20, 60
+BLOCK, BLOCK_CHARS, AGREE = 4096, 4 << 20, 60
 REGISTERS = BANDS * ROWS
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -155,47 +155,68 @@ def block_links(opened: DataFrame, signed: DataFrame, docs: DataFrame, chosen: D
     a similarity of 0.8 gives, so this keeps a link as surely as the bands themselves.
     """
     nodes = opened.select("node").distinct()
-    marks = signed.join(nodes, "node", "left_semi").select("node", "bands", "marks").dropDuplicates(["node"])
-    rows = opened.join(marks.join(node_texts(nodes, docs, chosen), "node"), "node")
-    most = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.char_length("text")) / BLOCK_CHARS)
+    heavy = signed.join(nodes, "node", "left_semi").select("node", "marks").dropDuplicates(["node"]).join(node_texts(nodes, docs, chosen), "node").checkpoint()
+    rows = opened.select("band", "key", "node", "label").join(heavy.select("node", F.char_length("text").alias("chars")), "node")
+    most = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("chars") / BLOCK_CHARS)
     count = rows.groupBy("band", "key").agg(F.ceil(most).alias("blocks"))
-    dealt = rows.join(count, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    fields = ("node", "label", "bands", "marks", "text")
-    blocks = dealt.groupBy("band", "key", "block").agg(F.collect_list(F.struct(*fields)).alias("l"))
-    left = blocks.select("band", "key", F.col("block").alias("i"), *[F.col(f"l.{c}").alias(f"{c}_a") for c in fields])
-    right = blocks.select("band", "key", F.col("block").alias("j"), *[F.col(f"l.{c}").alias(f"{c}_b") for c in fields])
+    dealt = rows.join(count, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))).join(heavy, "node")
+    fields = ("node", "label", "marks", "text")
+    blocks = dealt.groupBy("band", "key", "block", "blocks").agg(F.collect_list(F.struct(*fields)).alias("l")).checkpoint()
+    own = blocks.select("band", F.col("l").alias("l"), F.col("l").alias("r"))
+    many = blocks.where("blocks > 1")
+    other = many.alias("a").join(many.alias("b"), ["band", "key"]).where("a.block < b.block").select("band", F.col("a.l").alias("l"), F.col("b.l").alias("r"))
+    both = own.unionByName(other)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(len(batch)):
-                found = compare_blocks({name: batch.column(name)[r].values for name in batch.schema.names if name != "band"}, batch.column("band")[r].as_py(), similarity)
+                sides = [{f: batch.column(side)[r].values.field(f) for f in fields} for side in "lr"]
+                found = compare_blocks(*sides, batch.column("band")[r].as_py(), similarity)
                 if len(found):
                     yield pa.RecordBatch.from_arrays([pa.array(found.min(axis=1)), pa.array(found.max(axis=1))], ["a", "b"])
 
-    both = left.join(right, ["band", "key"]).where("i <= j")
-    return both.select("band", *[f"{c}_{s}" for c in fields for s in "ab"]).mapInArrow(run, "a long, b long").distinct().checkpoint()
+    return both.mapInArrow(run, "a long, b long").distinct().checkpoint()
 
 
-def compare_blocks(row: dict[str, pa.Array], band: int, similarity: float) -> np.ndarray:
-    """Linked pairs of nodes, one of each block."""
-    a, la, b, lb = (row[c].to_numpy() for c in ("node_a", "label_a", "node_b", "label_b"))
-    x, y = (np.frombuffer(b"".join(row[c].to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in ("marks_a", "marks_b"))
-    p, q = (row[c].flatten().to_numpy().reshape(-1, BANDS)[:, :band] for c in ("bands_a", "bands_b"))
-    of, element, _ = shingles(row["text_b"])
+def compare_blocks(left: dict[str, pa.Array], right: dict[str, pa.Array], band: int, similarity: float) -> np.ndarray:
+    """Linked pairs of nodes, one of each block, of different components, that agree on no band before this one.
+
+    One node of such a pair is not of the most common component, so only those are compared with all others.
+    """
+    labels = np.concatenate([left["label"].to_numpy(), right["label"].to_numpy()])
+    value, count = np.unique(labels, return_counts=True)
+    common = value[count.argmax()]
+    found = [_odd_nodes(left, right, common, band, similarity)]
+    if not left["node"].equals(right["node"]):
+        found.append(_odd_nodes(right, left, common, band, similarity))
+    return np.concatenate(found)
+
+
+def _odd_nodes(left: dict[str, pa.Array], right: dict[str, pa.Array], common: int, band: int, similarity: float) -> np.ndarray:
+    """Linked pairs of the left nodes outside the ``common`` component with right nodes."""
+    odd = np.flatnonzero(left["label"].to_numpy() != common)
+    if not len(odd):
+        return np.zeros((0, 2), np.int64)
+    left = {f: left[f].take(pa.array(odd)) for f in left}
+    a, la, b, lb = (side[c].to_numpy() for side in (left, right) for c in ("node", "label"))
+    x, y = (np.frombuffer(b"".join(side["marks"].to_pylist()), np.uint8).reshape(-1, REGISTERS) for side in (left, right))
+    of, element, _ = shingles(right["text"])
     order = np.argsort(element, kind="stable")
     element, of = element[order], of[order]
     size = np.bincount(of, minlength=len(b))
-    own, wanted, _ = shingles(row["text_a"])
+    own, wanted, _ = shingles(left["text"])
     edge = np.searchsorted(own, np.arange(len(a) + 1))
     out = []
     for k in range(len(a)):
-        near = (lb != la[k]) & ((y == x[k]).sum(axis=1) >= AGREE) & ~(q == p[k]).any(axis=1)
-        if near.any():
+        agree = y == x[k]
+        near = np.flatnonzero((agree.sum(axis=1) >= AGREE) & (lb != la[k]))
+        if band and len(near):
+            near = near[~agree[near, : band * ROWS].reshape(len(near), band, ROWS).all(axis=2).any(axis=1)]
+        if len(near):
             e = wanted[edge[k] : edge[k + 1]]
             low, high = np.searchsorted(element, e, side="left"), np.searchsorted(element, e, side="right")
-            both = np.bincount(of[ragged(low, high - low)], minlength=len(b))
-            near &= both >= similarity * (size + len(e) - both)
-            out += [(a[k], other) for other in b[near]]
+            both = np.bincount(of[ragged(low, high - low)], minlength=len(b))[near]
+            out += [(a[k], other) for other in b[near[both >= similarity * (size[near] + len(e) - both)]]]
     return np.array(out, np.int64).reshape(-1, 2)
 
 

@@ -88,7 +88,7 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """``node, n_bytes, whole_sha256, places, hashes`` of every row of ``node, text``."""
+    """``doc_id, node, places, hashes`` of every row of ``doc_id, node, text`` that has an anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,20 +96,16 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
                 data, ends = text_bytes(part.column("text"))
                 found = [anchors(data[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 edges = pa.array(np.append(0, np.cumsum([len(p) for p, _ in found])).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"),
-                        part.column("node"),
-                        pa.array(np.diff(ends)),
-                        pa.array([hashlib.sha256(data[a:b]).digest() for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary()),
-                        pa.ListArray.from_arrays(edges, pa.array(np.concatenate([np.zeros(0, np.int64), *(p for p, _ in found)]).astype(np.int32))),
-                        pa.ListArray.from_arrays(edges, pa.array(np.concatenate([np.zeros(0, np.uint64), *(h for _, h in found)]).view(np.int64))),
-                    ],
-                    ["doc_id", "node", "n_bytes", "whole_sha256", "places", "hashes"],
-                )
+                has = pa.array([len(p) > 0 for p, _ in found], pa.bool_())
+                found = [f for f in found if len(f[0])]
+                edges = pa.array(np.append(0, np.cumsum([len(p) for p, _ in found])).astype(np.int32))
+                places = np.concatenate([np.zeros(0, np.int64), *(p for p, _ in found)]).astype(np.int32)
+                hashes = np.concatenate([np.zeros(0, np.uint64), *(h for _, h in found)]).view(np.int64)
+                lists = [pa.ListArray.from_arrays(edges, pa.array(v)) for v in (places, hashes)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").filter(has), part.column("node").filter(has), *lists], ["doc_id", "node", "places", "hashes"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(run, f"doc_id {kind}, node long, n_bytes long, whole_sha256 binary, places array<int>, hashes array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, node long, places array<int>, hashes array<long>")
 
 
 def repeated_starts(cells: np.ndarray, inside: np.ndarray, group: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -265,19 +261,23 @@ def counted_ranges(cut: DataFrame) -> DataFrame:
     return strings.join(often, ["hash", "start", "key"]).select("node", "first", (F.col("first") + LENGTH).alias("last"))
 
 
-def repeated_ranges(docs: DataFrame, scanned: DataFrame, hot: int = HOT) -> DataFrame:
-    """``node, ranges`` for every text with a byte to remove; ranges may overlap."""
-    spots = scanned.select("node", F.explode(F.arrays_zip("places", "hashes")).alias("s")).select("node", F.col("s.places").alias("place"), F.col("s.hashes").alias("hash"))
-    spots = spots.groupBy("hash", "node", "place").agg(F.count(F.lit(1)).alias("weight"))
-    often = spots.groupBy("hash").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("size")).where("n > 1")
-    spots = spots.join(often, "hash").groupBy("node").agg(F.collect_list(F.struct("place", "hash", "weight", (F.col("size") > hot).alias("hot"))).alias("spots"))
-    chosen = scanned.groupBy("node").agg(F.min("doc_id").alias("chosen"))
-    texts = docs.join(spots.join(chosen, "node"), "node").where(F.col("doc_id").eqNullSafe(F.col("chosen")))
-    usual = segments(texts.select("node", "text", F.filter("spots", lambda s: ~s["hot"]).alias("spots")))
-    ranges = column_ranges(usual)
+def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """``node, ranges`` for every text of ``doc_id, text, node`` with a byte to remove; ranges may overlap.
+
+    Copies of a text are scanned but give one set of anchors, whose weight is their number.
+    """
+    scanned = anchor_rows(docs).checkpoint()
+    chosen = scanned.groupBy("node").agg(F.min("doc_id").alias("chosen"), F.count(F.lit(1)).alias("weight"))
+    first = scanned.join(chosen, "node").where(F.col("doc_id").eqNullSafe(F.col("chosen")))
+    once = first.select("node", "weight", F.explode(F.arrays_zip("places", "hashes")).alias("s")).select(F.col("s.hashes").alias("hash"), "node", F.col("s.places").alias("place"), "weight")
+    often = once.groupBy("hash").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("size")).where("n > 1").select("hash", (F.col("size") > hot).alias("hot"))
+    spots = once.join(often, "hash").groupBy("node").agg(F.collect_set(F.struct("place", "hash", "weight", "hot")).alias("spots"))
+    spots = spots.join(chosen.select("node", "chosen"), "node").checkpoint()
+    texts = docs.join(spots, "node").where(F.col("doc_id").eqNullSafe(F.col("chosen")))
+    ranges = column_ranges(segments(texts.select("node", "text", F.filter("spots", lambda s: ~s["hot"]).alias("spots"))))
     if spots.where(F.exists("spots", lambda s: s["hot"])).take(1):
         ranges = ranges.unionByName(counted_ranges(segments(texts.select("node", "text", F.filter("spots", lambda s: s["hot"]).alias("spots")))))
-    return ranges.groupBy("node").agg(F.collect_set(F.struct("first", "last")).alias("ranges")).checkpoint()
+    return ranges.groupBy("node").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
 
 
 def kept_mask(size: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -287,8 +287,15 @@ def kept_mask(size: int, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     return np.cumsum(steps[:-1]) == 0
 
 
-def with_nodes(docs: DataFrame, *more: str) -> DataFrame:
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *more).withColumn("node", node_of(F.col("text")))
+def kept_bytes(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bytes and the mask of kept ones of each ``text``, by its ``ranges`` (null: none)."""
+    data, ends = text_bytes(part.column("text"))
+    for r, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
+        spans = part.column("ranges")[r].values
+        keep = np.ones(b - a, bool)
+        if spans is not None:
+            keep = kept_mask(b - a, np.asarray(spans.field("first"), np.int64), np.asarray(spans.field("last"), np.int64))
+        yield data[a:b], keep
 
 
 def removals(docs: DataFrame) -> DataFrame:
@@ -299,28 +306,22 @@ def removals(docs: DataFrame) -> DataFrame:
     of 400 bytes or more that has a copy goes whole. Texts are compared as 64 bits of their MD5 first.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    docs = with_nodes(docs)
-    scanned = anchor_rows(docs).checkpoint()
-    ranges = repeated_ranges(docs, scanned)
+    docs = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).withColumn("node", node_of(F.col("text")))
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                data, ends = text_bytes(part.column("text"))
                 out = []
-                for r, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-                    spans = part.column("ranges")[r].values
-                    keep = kept_mask(b - a, np.asarray(spans.field("first"), np.int64), np.asarray(spans.field("last"), np.int64))
-                    edge = np.flatnonzero(~keep & np.append(True, keep[:-1]))
-                    out.append((b - a, int((~keep).sum()), len(edge), hashlib.sha256(data[a:b][keep].tobytes()).digest()))
+                for raw, keep in kept_bytes(part):
+                    edge = ~keep & np.append(True, keep[:-1])[: len(keep)]
+                    out.append((len(raw), int((~keep).sum()), int(edge.sum()), hashlib.sha256(raw[keep].tobytes()).digest()))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array([o[k] for o in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.binary())))], names)
 
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    cut = docs.join(ranges, "node").select("doc_id", "text", "ranges").mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 binary")
-    zero = F.lit(0).cast("long")
-    whole = scanned.join(ranges.select("node"), "node", "left_anti").select("doc_id", "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("whole_sha256").alias("kept_sha256"))
-    return whole.unionByName(cut).withColumn("kept_sha256", F.lower(F.hex("kept_sha256")))
+    # The texts' exchange by node is the one that the segments were cut from.
+    both = docs.join(repeated_ranges(docs), "node", "left").select("doc_id", "text", "ranges")
+    return both.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 binary").withColumn("kept_sha256", F.lower(F.hex("kept_sha256")))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -329,25 +330,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Where a cut falls inside a character, the rest of that character goes too.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    noded = with_nodes(docs)
-    ranges = repeated_ranges(noded, anchor_rows(noded).checkpoint())
-    rows = docs.withColumn("_node", node_of(F.coalesce("text", F.lit(""))))
-    rows = rows.join(ranges.withColumnsRenamed({"node": "_node", "ranges": "_ranges"}), "_node", "left")
     order = docs.columns
+    rows = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("node", node_of(F.col("text")))
+    ranges = repeated_ranges(rows.select("doc_id", "text", "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                data, ends = text_bytes(part.column("text"))
-                texts = []
-                for r, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)):
-                    spans = part.column("_ranges")[r].values
-                    raw = data[a:b]
-                    if spans is not None:
-                        raw = raw[kept_mask(b - a, np.asarray(spans.field("first"), np.int64), np.asarray(spans.field("last"), np.int64))]
-                    texts.append(raw.tobytes().decode("utf-8", errors="ignore"))
-                at = part.schema.names.index("text")
-                yield part.set_column(at, "text", pa.array(texts, pa.string())).select(order)
-
-    out = rows.select(*order, "_ranges").mapInArrow(run, docs.schema)
+                texts = [raw[keep].tobytes().decode("utf-8", errors="ignore") for raw, keep in kept_bytes(part)]
+                yield part.set_column(part.schema.names.index("text"), "text", pa.array(texts, pa.string())).select(order)
+
+    out = rows.join(ranges, "node", "left").select(*order, "ranges").mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*order)
