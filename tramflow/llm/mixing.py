@@ -66,7 +66,8 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS) ->
 
     Targets stop at ``epochs`` times the source's size and the excess goes to the others by
     weight. In the order of cap / weight the capped sources come first, so one running
-    sum finds the level at which the rest is shared. The windows hold one row per source.
+    sum finds the level at which the rest is shared: that of the first source that it does not cap, the
+    largest, as each source wrongly left out lowers it. The windows hold one row per source.
     """
     order, whole = Window.orderBy(F.col("source").asc_nulls_last()), Window.partitionBy()
     by_cap = Window.orderBy("_ratio", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
@@ -80,7 +81,7 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS) ->
         .withColumn("_rest", F.sum("source_size").over(whole) - F.coalesce(F.sum("_cap").over(by_cap), F.lit(0)))
         .withColumn("_over", F.sum("_w").over(whole) - F.coalesce(F.sum("_w").over(by_cap), F.lit(0)))
         .withColumn("_level", F.col("_rest") / F.col("_over"))
-        .withColumn("_level", F.min(F.when(F.col("_ratio") > F.col("_level"), F.col("_level"))).over(whole))
+        .withColumn("_level", F.max(F.when(F.col("_ratio") > F.col("_level"), F.col("_level"))).over(whole))
         .select("source", "source_size", F.least(F.col("_cap").cast("double"), F.coalesce(F.col("_w") * F.col("_level"), F.col("_cap").cast("double"))).alias("target"))
     )
 
@@ -130,13 +131,13 @@ def apply_mix(docs: DataFrame, taken: DataFrame) -> DataFrame:
     A part is cut after its last word, so its text is a prefix of the document's. Documents
     with no word taken go. ``doc_id`` must be unique in ``docs`` here; ``n_chars`` is counted anew.
     """
-    take = taken.where("taken > 0").select("doc_id", "size", "taken")
+    take = taken.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     words = F.split(F.col("text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    copies = F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int")))
-    rest = F.col("taken") - (F.col("_copy") - 1) * F.col("size")
-    text = F.when(rest >= F.col("size"), F.col("text")).otherwise(F.concat_ws("", F.slice(words, F.lit(1), rest.cast("int"))))
+    copies = F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int")))
+    rest = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
+    text = F.when(rest >= F.col("_size"), F.col("text")).otherwise(F.concat_ws("", F.slice(words, F.lit(1), rest.cast("int"))))
     return (
-        docs.join(take, "doc_id")
+        docs.join(take, F.col("doc_id").eqNullSafe(F.col("_id")))
         .withColumn("_copy", copies)
         .withColumn("text", text)
         .withColumn("n_chars", F.char_length("text").cast("long"))
@@ -159,7 +160,7 @@ levels AS (
          / ((SELECT sum(w) FROM weighed) - coalesce(sum(b.w) FILTER (b.cap / b.w < a.cap / a.w), 0)) AS lvl
   FROM weighed a, weighed b GROUP BY a.source, a.source_size, a.w, a.cap),
 target AS (
-  SELECT source, source_size, least(CAST(cap AS DOUBLE), w * (SELECT min(lvl) FROM levels WHERE ratio > lvl)) AS target FROM levels),
+  SELECT source, source_size, least(CAST(cap AS DOUBLE), w * (SELECT max(lvl) FROM levels WHERE ratio > lvl)) AS target FROM levels),
 seats AS (
   SELECT source, count(*) AS source_quota FROM (
     SELECT source, row_number() OVER (ORDER BY target / (2 * s + 1) DESC, source NULLS LAST, s) AS place

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramflow.llm import byte_bpe, fingerprints, mixing, probminhash, quality_mil, rule_cascade, suffix_dedup, toxicity_cnn
+from tramflow.llm import byte_bpe, fingerprints, mixing, probminhash, quality_mil, rule_cascade, suffix_dedup, token_counts, toxicity_cnn
 from tramflow.llm.common import documents, labels
 
 
@@ -15,6 +15,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_study(documents(spark, sf_dir))
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.section_tokens(documents(spark, sf_dir), public_tokenizers.path(byte_bpe.VOCABULARY))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encoded(documents(spark, sf_dir), public_tokenizers.path(byte_bpe.VOCABULARY))
 
@@ -44,7 +48,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op3_byte_bpe, op4_quality_mil, op6_toxicity_cnn, op7_probminhash, op8_suffix_dedup, op9_rule_cascade, op10_mixing)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_byte_bpe, op4_quality_mil, op6_toxicity_cnn, op7_probminhash, op8_suffix_dedup, op9_rule_cascade, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
