@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramflow.llm import byte_bpe, fingerprints, mixing, probminhash, quality_mil, rule_cascade, suffix_dedup, token_counts, toxicity_cnn
+from tramflow.llm import byte_bpe, collinear, fingerprints, mixing, probminhash, quality_mil, rule_cascade, suffix_dedup, token_counts, toxicity_cnn
 from tramflow.llm.common import documents, labels
 
 
@@ -27,6 +27,10 @@ def op4_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mil.scored(documents(spark, sf_dir), labels(spark, sf_dir))
 
 
+def op5_collinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collinear.passages(documents(spark, sf_dir))
+
+
 def op6_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_cnn.scored(documents(spark, sf_dir), labels(spark, sf_dir))
 
@@ -48,7 +52,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_byte_bpe, op4_quality_mil, op6_toxicity_cnn, op7_probminhash, op8_suffix_dedup, op9_rule_cascade, op10_mixing)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_byte_bpe, op4_quality_mil, op5_collinear, op6_toxicity_cnn, op7_probminhash, op8_suffix_dedup, op9_rule_cascade, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
