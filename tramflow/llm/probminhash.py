@@ -29,7 +29,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 #: Comparisons with a bucket's central nodes before its remaining pairs are listed.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 #: Nodes in a block of such a listing, and the agreeing registers that its pairs need.
 BLOCK, BLOCK_CHARS, AGREE = 4096, 4 << 20, 60
 REGISTERS = BANDS * ROWS
