@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,28 +153,39 @@ def repeated_starts(cells: np.ndarray, inside: np.ndarray, group: np.ndarray, we
 
 
 def segments(rows: DataFrame) -> DataFrame:
-    """``hash, node, place, weight, lead, segment``: the bytes around each repeated anchor of ``node, text, spots``."""
+    """``hash, node, places, weight, lead, segment``: the bytes around each repeated anchor of ``node, text, spots``.
+
+    A text that repeats itself has equal segments at many places; they are one row, weighted by their number.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
                 data, ends = text_bytes(part.column("text"))
-                spots = part.column("spots")
-                edges = np.asarray(spots.offsets)
-                flat = spots.flatten()
-                place = np.asarray(flat.field("place"), np.int64)
-                row = np.repeat(np.arange(len(part)), np.diff(edges))
-                at = ends[:-1][row] + place
-                first, last = np.maximum(at - SIDE, ends[:-1][row]), np.minimum(at + ANCHOR + SIDE, ends[1:][row])
-                for k in range(0, len(at), SEGMENTS):
-                    s = slice(k, k + SEGMENTS)
-                    cut = pa.array([data[a:b].tobytes() for a, b in zip(first[s].tolist(), last[s].tolist(), strict=True)], pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [flat.field("hash")[s], part.column("node").take(pa.array(row[s])), flat.field("place")[s], flat.field("weight")[s], pa.array((at - first)[s].astype(np.int32)), cut],
-                        ["hash", "node", "place", "weight", "lead", "segment"],
-                    )
-
-    return rows.mapInArrow(run, "hash long, node long, place int, weight long, lead int, segment binary")
+                raw = data.tobytes()
+                for r, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+                    spots = part.column("spots")[r].values
+                    found: dict[tuple, list[int]] = {}
+                    for h, place in zip(spots.field("hash").to_pylist(), spots.field("place").to_pylist(), strict=True):
+                        low = max(a + place - SIDE, a)
+                        found.setdefault((h, a + place - low, raw[low : min(a + place + ANCHOR + SIDE, b)]), []).append(place)
+                    if found:
+                        copies, node = spots.field("weight")[0].as_py(), part.column("node")[r].as_py()
+                        out.extend((h, node, sorted(places), copies * len(places), lead, cut) for (h, lead, cut), places in found.items())
+                    if len(out) >= SEGMENTS:
+                        yield batch_of(out)
+                        out.clear()
+        if out:
+            yield batch_of(out)
+
+    out: list[tuple] = []
+    names = ("hash", "node", "places", "weight", "lead", "segment")
+    kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.int32(), pa.binary())
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], list(names))
+
+    return rows.mapInArrow(run, "hash long, node long, places array<int>, weight long, lead int, segment binary")
 
 
 def _matrix(lead: np.ndarray, segment: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -200,10 +212,16 @@ def decide(table: pa.Table) -> pa.RecordBatch:
     cells, inside = _matrix(np.asarray(distinct.column("lead"), np.int64), distinct.column("segment").combine_chunks() if isinstance(distinct.column("segment"), pa.ChunkedArray) else distinct.column("segment"))
     group = np.unique(np.asarray(distinct.column("hash")), return_inverse=True)[1]
     low, high = repeated_starts(cells, inside, group, weight)
-    place = np.asarray(table.column("place"), np.int64) - SIDE
-    hit = np.flatnonzero(low[code] <= high[code])
-    code = code[hit]
-    return pa.RecordBatch.from_arrays([table.column("node").combine_chunks().take(pa.array(hit)), pa.array(place[hit] + low[code]), pa.array(place[hit] + high[code] + LENGTH)], ["node", "first", "last"])
+    places = table.column("places").combine_chunks()
+    row = np.repeat(np.arange(len(table)), np.asarray(pa.compute.list_value_length(places)))
+    place = np.asarray(places.flatten(), np.int64) - SIDE
+    first, last = place + low[code[row]], place + high[code[row]] + LENGTH
+    # Places of a row ascend: a range that meets the one before is joined to it.
+    hit = np.flatnonzero(low[code[row]] <= high[code[row]])
+    row, first, last = row[hit], first[hit], last[hit]
+    new = np.append(True, (row[1:] != row[:-1]) | (first[1:] > last[:-1]))[: len(row)]
+    end = np.append(new[1:], True)[: len(row)]
+    return pa.RecordBatch.from_arrays([table.column("node").combine_chunks().take(pa.array(row[new])), pa.array(first[new]), pa.array(last[end])], ["node", "first", "last"])
 
 
 def column_ranges(cut: DataFrame) -> DataFrame:
@@ -250,15 +268,16 @@ def counted_ranges(cut: DataFrame) -> DataFrame:
         for batch in batches:
             for part in chunks(batch, "segment"):
                 segment = part.column("segment").to_pylist()
-                for r, (h, node, place, weight, lead) in enumerate(zip(*(part.column(c).to_pylist() for c in ("hash", "node", "place", "weight", "lead")), strict=True)):
+                for r, (h, node, places, weight, lead) in enumerate(zip(*(part.column(c).to_pylist() for c in ("hash", "node", "places", "weight", "lead")), strict=True)):
                     starts = np.arange(SIDE - lead, SIDE - lead + len(segment[r]) - LENGTH + 1)
                     keys = [hashlib.md5(segment[r][s - SIDE + lead : s - SIDE + lead + LENGTH]).digest() for s in starts]
                     n = len(starts)
-                    yield pa.RecordBatch.from_arrays([pa.array([h] * n, pa.int64()), pa.array(starts.astype(np.int32)), pa.array(keys, pa.binary()), pa.array([node] * n, pa.int64()), pa.array(place - SIDE + starts), pa.array([weight] * n, pa.int64())], ["hash", "start", "key", "node", "first", "weight"])
+                    yield pa.RecordBatch.from_arrays([pa.array([h] * n, pa.int64()), pa.array(starts.astype(np.int32)), pa.array(keys, pa.binary()), pa.array([node] * n, pa.int64()), pa.array([places] * n, pa.list_(pa.int32())), pa.array([weight] * n, pa.int64())], ["hash", "start", "key", "node", "places", "weight"])
 
-    strings = cut.mapInArrow(run, "hash long, start int, key binary, node long, first long, weight long")
+    strings = cut.mapInArrow(run, "hash long, start int, key binary, node long, places array<int>, weight long")
     often = strings.groupBy("hash", "start", "key").agg(F.sum("weight").alias("n")).where("n > 1")
-    return strings.join(often, ["hash", "start", "key"]).select("node", "first", (F.col("first") + LENGTH).alias("last"))
+    found = strings.join(often, ["hash", "start", "key"]).select("node", "start", F.explode("places").alias("place"))
+    return found.select("node", (F.col("place") - SIDE + F.col("start")).cast("long").alias("first")).select("node", "first", (F.col("first") + LENGTH).alias("last"))
 
 
 def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
