@@ -90,28 +90,36 @@ def delay_matches(
     *,
     lower: int = BAND_LOWER_SEC,
     upper: int = BAND_UPPER_SEC,
-    service_day_sec: int = 93600,
+    departure_range: tuple[int, int] | None = None,
     broadcast_calendar: bool = True,
     dedupe: bool = True,
 ) -> DataFrame:
     """Departures of the ping's line at its stop complex inside the band.
 
     A departure belongs to a service day and may be later than 24:00, so a
-    ping is compared with the service day of its own date and -- while that
-    one may still be running -- of the previous date.  Bounds compare absolute
+    ping is compared with every service day whose departures its band can
+    reach: its own, the next one shortly before midnight, and as many earlier
+    ones as the timetable's last departure runs on.  Bounds compare absolute
     seconds, so nothing wraps at midnight.  Delay = ping - departure seconds.
+
+    ``departure_range`` is the timetable's first and last ``dep_sec``; unless
+    given, one aggregate of the timetable finds it.
     """
+    if departure_range is None:
+        row = timetable.agg(F.min("dep_sec").alias("low"), F.max("dep_sec").alias("high")).first()
+        departure_range = (row["low"] or 0, row["high"] or 0)
+    first, last = departure_range
     sod = seconds_of_day("Time")
-    offsets = F.when(
-        sod < F.lit(service_day_sec - DAY_SEC + lower), F.array(F.lit(0), F.lit(1))
-    ).otherwise(F.array(F.lit(0)))
+    # ping + off days - lower < last departure, and ping + off days + upper > first departure
+    low = (F.floor((F.lit(first - upper) - sod) / DAY_SEC) + 1).cast("int")
+    high = (F.ceil((F.lit(last + lower) - sod) / DAY_SEC) - 1).cast("int")
     cand = (
-        trams.withColumn("_off", F.explode(offsets))
+        trams.withColumn("_off", F.explode(F.when(low <= high, F.sequence(low, high))))
         .withColumn("_svc_day", F.date_sub(F.col("Date"), F.col("_off")))
         .withColumn("_svc_sec", sod + F.col("_off") * F.lit(DAY_SEC))
     )
-    # one row per calendar date: bounded by the number of days, broadcast as is
-    cal = calendar_df.select(F.col("day").alias("_svc_day"), F.col("DayType").alias("_svc_type"))
+    # grouped, so there is one row per date: its number bounds the broadcast
+    cal = calendar_df.groupBy(F.col("day").alias("_svc_day")).agg(F.min("DayType").alias("_svc_type"))
     cand = cand.join(F.broadcast(cal) if broadcast_calendar else cal, "_svc_day")
     tt = timetable.select(
         F.col("Lines").alias("TT_Lines"), F.col("Unit").alias("_tt_unit"), F.col("DayType"),

@@ -26,7 +26,7 @@ PING_LAT_MUL, PING_LAT_SPAN = 104729, 3000
 STOP_LON_MUL, STOP_LON_SPAN = 6151, 4000
 STOP_LAT_MUL, STOP_LAT_SPAN = 3571, 3000
 DEP_ORDER_MUL, DEP_LINE_MUL = 37, 1301
-SERVICE_DAY_SEC = 93600  # a service day runs until 26:00
+SERVICE_DAY_SEC = 108000  # a service day runs until 30:00
 ROUTE_B_MUL, ROUTE_B_MOD = 7, 1009
 
 

@@ -43,24 +43,19 @@ trams AS (
   FROM ranked WHERE rn = 1)"""
 
 CTE_RESULTS = f"""{CTE_TRAMS},
-svc AS (
-  SELECT t.*, t.Date AS svc_day, hour(t.Time) * 3600 + minute(t.Time) * 60 + second(t.Time) AS svc_sec
-  FROM trams t
-  UNION ALL
-  SELECT t.*, CAST(t.Date - 1 AS DATE) AS svc_day,
-         hour(t.Time) * 3600 + minute(t.Time) * 60 + second(t.Time) + 86400 AS svc_sec
-  FROM trams t),
 cal AS ({CALENDAR_SQL}),
 tt AS ({TIMETABLE_SQL}),
+dated AS (
+  SELECT tt.*, epoch(CAST(c.day AS TIMESTAMP)) + tt.dep_sec AS departs
+  FROM tt JOIN cal c ON c.DayType = tt.DayType),
 res AS (
   SELECT DISTINCT s.Lines, s.Lat, s.Lon, s.VehicleNumber, s.CurrTramTime, s.Date, s.Brigade, s.StopName,
          s.Unit, s.distance, s.LowerTime, s.UpperTime, s.Time,
-         tt.Lines AS TT_Lines, {hms_sql('tt.dep_sec')} AS DepTime, tt.StopNo, tt.DayType, tt.Route,
-         tt."Order", CAST(s.svc_sec - tt.dep_sec AS INTEGER) AS Delay
-  FROM svc s
-  JOIN cal c ON c.day = s.svc_day
-  JOIN tt ON tt.Lines = s.Lines AND tt.Unit = s.Unit AND tt.DayType = c.DayType
-         AND tt.dep_sec > s.svc_sec - 600 AND tt.dep_sec < s.svc_sec + 180)"""
+         d.Lines AS TT_Lines, {hms_sql('d.dep_sec')} AS DepTime, d.StopNo, d.DayType, d.Route,
+         d."Order", CAST(epoch(s.Time) - d.departs AS INTEGER) AS Delay
+  FROM trams s
+  JOIN dated d ON d.Lines = s.Lines AND d.Unit = s.Unit
+              AND d.departs > epoch(s.Time) - 600 AND d.departs < epoch(s.Time) + 180)"""
 
 CTE_DIRECTION = f"""{CTE_RESULTS},
 ps1 AS (

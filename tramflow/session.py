@@ -42,8 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` (or one already set on the
-    context) is used as is.  Only when neither exists -- local runs and tests --
-    a fresh scratch folder is created and set.
+    context) is used as is.  Only when neither exists and the master is local
+    -- tests -- a fresh scratch folder is created and set; on a cluster that
+    is an error, since executors do not share local folders.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -56,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not fallback and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = fallback or tempfile.mkdtemp(prefix="tramflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path

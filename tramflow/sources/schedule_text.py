@@ -44,7 +44,7 @@ _ROWS = (Window.unboundedPreceding, Window.currentRow)
 
 
 def _tokens(line: Column) -> Column:
-    return F.split(F.trim(line), r"\s+")
+    return F.split(F.regexp_replace(line, r"^\s+|\s+$", ""), r"\s+")
 
 
 def _tok(tokens: Column, i: int) -> Column:
