@@ -88,8 +88,38 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return place, np.concatenate(hashes)[first]
 
 
+def periodic(data: np.ndarray, place: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Which anchors to keep, and the long regions of one short period that the others lie in.
+
+    Equal anchors at one distance of ``ANCHOR`` bytes or less make a region of that period. In a region of
+    ``LENGTH`` bytes and two periods every 400-byte string starts again a period on or before, so it repeats as
+    a whole. A 400-byte string that leaves the region has its first or last anchor, in every text alike.
+    """
+    keep, regions = np.ones(len(place), bool), []
+    if len(place) < 3:
+        return keep, regions
+    step = np.diff(place)
+    step[(hashed[1:] != hashed[:-1]) | (step > ANCHOR)] = 0
+    edges = np.flatnonzero(np.append(True, step[1:] != step[:-1]))
+    for a, b in zip(edges.tolist(), np.append(edges[1:], len(step)).tolist(), strict=True):
+        p = int(step[a])
+        if p and int(place[b] - place[a]) + ANCHOR + 2 * p >= LENGTH:
+            low, high = int(place[a]), int(place[b]) + ANCHOR
+            while low and data[low - 1] == data[low - 1 + p]:
+                low -= 1
+            while high < len(data) and data[high] == data[high - p]:
+                high += 1
+            if high - low >= LENGTH + 2 * p:
+                keep[a + 1 : b] = False
+                regions.append((low, high))
+    return keep, regions
+
+
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, places, hashes`` of every row of ``doc_id, node, text`` that has an anchor."""
+    """``doc_id, node, places, hashes, regions`` of every row of ``doc_id, node, text`` that has an anchor.
+
+    ``regions`` holds the first byte and the one after the last of each periodic region, one after the other.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,15 +128,18 @@ def anchor_rows(docs: DataFrame) -> DataFrame:
                 found = [anchors(data[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 edges = pa.array(np.append(0, np.cumsum([len(p) for p, _ in found])).astype(np.int32))
                 has = pa.array([len(p) > 0 for p, _ in found], pa.bool_())
-                found = [f for f in found if len(f[0])]
+                spans = [data[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                marked = [(p, h, *periodic(d, p, h)) for d, (p, h) in zip(spans, found, strict=True) if len(p)]
+                found = [(p[keep], h[keep]) for p, h, keep, _ in marked]
+                regions = pa.array([[x for r in found_regions for x in r] for *_, found_regions in marked], pa.list_(pa.int32()))
                 edges = pa.array(np.append(0, np.cumsum([len(p) for p, _ in found])).astype(np.int32))
                 places = np.concatenate([np.zeros(0, np.int64), *(p for p, _ in found)]).astype(np.int32)
                 hashes = np.concatenate([np.zeros(0, np.uint64), *(h for _, h in found)]).view(np.int64)
                 lists = [pa.ListArray.from_arrays(edges, pa.array(v)) for v in (places, hashes)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id").filter(has), part.column("node").filter(has), *lists], ["doc_id", "node", "places", "hashes"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id").filter(has), part.column("node").filter(has), *lists, regions], ["doc_id", "node", "places", "hashes", "regions"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.mapInArrow(run, f"doc_id {kind}, node long, places array<int>, hashes array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, node long, places array<int>, hashes array<long>, regions array<int>")
 
 
 def repeated_starts(cells: np.ndarray, inside: np.ndarray, group: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -296,6 +329,9 @@ def repeated_ranges(docs: DataFrame, hot: int = HOT) -> DataFrame:
     ranges = column_ranges(segments(texts.select("node", "text", F.filter("spots", lambda s: ~s["hot"]).alias("spots"))))
     if spots.where(F.exists("spots", lambda s: s["hot"])).take(1):
         ranges = ranges.unionByName(counted_ranges(segments(texts.select("node", "text", F.filter("spots", lambda s: s["hot"]).alias("spots")))))
+    at = F.explode(F.sequence(F.lit(1), F.size("regions"), F.lit(2)))
+    periods = first.where(F.size("regions") > 0).select("node", "regions", at.alias("k")).select("node", *[F.element_at("regions", F.col("k") + j).cast("long").alias(c) for j, c in enumerate(("first", "last"))])
+    ranges = ranges.unionByName(periods)
     return ranges.groupBy("node").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
 
 
