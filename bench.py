@@ -5,9 +5,7 @@
 Each query is fully executed (rows written to a no-op sink), build included.
 Before timing, every headline query runs once on a smaller scale factor
 (``BENCH_WARMUP_DIR``, default the sibling ``sf0.01`` folder when present) so
-JVM start-up and JIT compilation are not counted.  Also times the
-original job's shape for comparison: the row-at-a-time Python distance UDF and
-the single-partition (global) windows.
+JVM start-up and JIT compilation are not counted.
 """
 
 from __future__ import annotations
@@ -19,11 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
-from pyspark.sql import Window  # noqa: E402
-
 from tramflow.plans import catalog  # noqa: E402
-from tramflow.plans import driver_views as dv  # noqa: E402
 from tramflow.session import build_session  # noqa: E402
 
 HEADLINE = [
@@ -44,36 +38,6 @@ def run(build) -> float:
     return time.perf_counter() - t0
 
 
-def udf_distance_query(spark, d):
-    """The original shape: all pairs on the line, Python UDF distance,
-    row_number over (line, brigade, time)."""
-    import math
-
-    from pyspark.sql.types import DoubleType
-
-    def dist(lon_a, lat_a, lon_b, lat_b):
-        lon_a, lat_a, lon_b, lat_b = map(math.radians, [lon_a, lat_a, lon_b, lat_b])
-        a = math.sin((lat_b - lat_a) / 2) ** 2 + math.cos(lat_a) * math.cos(lat_b) * math.sin((lon_b - lon_a) / 2) ** 2
-        return abs(round(2 * math.asin(math.sqrt(a)) * 6371000, 2))
-
-    udf = F.udf(dist, DoubleType())
-    p = dv.pings(spark, d)
-    s = dv.route_stops(spark, d).select("line_nr", "stop_nr", F.col("Lat").alias("s_Lat"), F.col("Lon").alias("s_Lon"))
-    j = p.join(s, p["Lines"] == s["line_nr"]).withColumn("distance", udf("Lon", "Lat", "s_Lon", "s_Lat"))
-    w = Window.partitionBy("Lines", "Brigade", "Time").orderBy("distance", "stop_nr")
-    return j.withColumn("rn", F.row_number().over(w)).filter("rn = 1")
-
-
-def global_window_query(spark, d):
-    """Previous distinct stop with one unpartitioned window (the original shape)."""
-    res = catalog._results(spark, d)
-    w = Window.orderBy("Lines", "VehicleNumber", "Date", "CurrTramTime", "distance", "DepTime", "Route", "Order")
-    prev = F.lag("StopName").over(w)
-    return res.withColumn("_c", F.when(F.col("StopName") != prev, prev)).withColumn(
-        "PrevStopCorrected", F.last("_c", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    )
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -83,21 +47,15 @@ def main() -> None:
         warm_dir = sf_dir
     for name in HEADLINE:  # warm-up on the small tables
         run(lambda: catalog.REGISTRY[name].build(spark, warm_dir))
-    run(lambda: udf_distance_query(spark, warm_dir))
     times = {}
     for name in HEADLINE:
         times[name] = round(run(lambda: catalog.REGISTRY[name].build(spark, sf_dir)), 3)
-    extra = {
-        "ref_shape_udf_nearest": round(run(lambda: udf_distance_query(spark, sf_dir)), 3),
-        "ref_shape_global_window": round(run(lambda: global_window_query(spark, sf_dir)), 3),
-    }
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "headline_total_sec",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
-        "reference_shape": extra,
         "sf": sf,
         "cpus": int(cpus),
     }))
