@@ -21,9 +21,11 @@ from tramflow.operators.ids import with_dense_ids
 from tramflow.operators.nested import drop_nested, unwind
 from tramflow.operators.quality import dedupe_keep_first, load_counts, max_id
 from tramflow.operators.windows import change_marker, forward_fill, sequence_number
-from tramflow.plans import delays, loads
+from tramflow.plans import delays, inputs, loads
 from tramflow.plans import driver_views as dv
 from tramflow.plans import oracle_delays as od
+from tramflow.plans import text_views as tv
+from tramflow.sources import readers, schedule_text
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -118,7 +120,7 @@ def q_j9_nearest_stop_no_grid(spark, d):
     ).select("Lines", "Brigade", "Time", "VehicleNumber", "Lat", "Lon", "stop_nr", "StopName", "Unit", "distance")
 
 
-@register("p9_trams_stops", "P5 P9 P11 P3", od.TRAMS_STOPS_SQL)
+@register("p9_trams_stops", "P9 P11 P3",od.TRAMS_STOPS_SQL)
 def q_p9_trams_stops(spark, d):
     return _trams(spark, d).select(*delays.TRAMS_STOPS_COLS)
 
@@ -158,11 +160,11 @@ def q_s10_sql_direction(spark, d):
     order.createOrReplaceTempView("tf_routes_order")
     return spark.sql(
         """
-        SELECT ps.Lines, ps.VehicleNumber, ps.Date, ps.CurrTramTime, ps.StopName, ps.StopNo, ps.DepTime,
-               ps.Delay, ps.PrevStopCorrected, ro.route_nr AS Direction
-        FROM tf_previous_stops AS ps
-        LEFT JOIN tf_routes_order AS ro
-          ON ps.Lines = ro.line_nr AND ps.StopNo = ro.stop_nr AND ps.PrevStopCorrected = ro.PrevCorrected
+        WITH hops AS (
+          SELECT line_nr AS Lines, stop_nr AS StopNo, PrevCorrected AS PrevStopCorrected, route_nr AS Direction
+          FROM tf_routes_order)
+        SELECT Lines, VehicleNumber, Date, CurrTramTime, StopName, StopNo, DepTime, Delay, PrevStopCorrected, Direction
+        FROM tf_previous_stops LEFT JOIN hops USING (Lines, StopNo, PrevStopCorrected)
         """
     )
 
@@ -264,32 +266,20 @@ def q_s13_calendar_dim(spark, d):
 # ---------------------------------------------------------------- projections and scalar functions
 
 
-@register("p1_stops_view", "P1 P2 P4 S2", f"""
+@register("p1_stops_view", "P1 P2 P4",f"""
 SELECT unit, unit_name AS StopName, street_id, direction, valid_from, longitude AS Lon, latitude AS Lat,
        unit || post AS stop_nr
 FROM ({dv.STOPS_FEED_SQL}) f""")
 def q_p1_stops_view(spark, d):
-    feed = dv.stops_feed(spark, d)
-    return (
-        feed.withColumn("Lon", F.col("longitude"))
-        .withColumn("Lat", F.col("latitude"))
-        .withColumn("stop_nr", F.concat("unit", "post"))
-        .drop("post", "longitude", "latitude")
-        .withColumnRenamed("unit_name", "StopName")
-    )
+    return inputs.stops_view(dv.stops_feed(spark, d))
 
 
 @register("j1_route_coordinates", "J1 P3 P4", f"""WITH rs AS ({dv.ROUTE_STOPS_SQL}), st AS ({dv.STOPS_SQL})
 SELECT r.line_nr, r.route_nr, r.stop_nr, r.StopName, r.min_time, s.Lat, s.Lon, s.unit AS Unit
 FROM rs r JOIN st s ON r.stop_nr = s.stop_nr""")
 def q_j1_route_coordinates(spark, d):
-    from tramflow.operators.broadcast import broadcast_if_small
-
-    r = dv.route_stops(spark, d).select("line_nr", "route_nr", "stop_nr", "StopName", "min_time").alias("r")
-    s = broadcast_if_small(dv.stops(spark, d)).alias("s")
-    return r.join(s, F.col("r.stop_nr") == F.col("s.stop_nr")).select(
-        "r.*", "s.Lat", "s.Lon", F.col("s.unit").alias("Unit")
-    )
+    on_routes = dv.route_stops(spark, d).select("line_nr", "route_nr", "stop_nr", "StopName", "min_time")
+    return inputs.route_coordinates(on_routes, dv.stops(spark, d))
 
 
 @register("j2_timetable_stops", "J2 P2", f"""
@@ -455,7 +445,7 @@ ranked AS (
 _C3_COLS = "id, full_name, stop_longitude, stop_latitude, street, unit, post, created_at"
 
 
-@register("c3_stops_load", "C3 A4 F2 P14 P15 S7", f"""WITH {_C3_CLEAN}
+@register("c3_stops_load", "C3 A4 F2 P14 P15",f"""WITH {_C3_CLEAN}
 SELECT {_C3_COLS} FROM ranked WHERE rn = 1""")
 def q_c3_stops_load(spark, d):
     return loads.load_stops(dv.stops_feed(spark, d)).accepted
@@ -566,7 +556,7 @@ variants AS (
   FROM looked)"""
 
 
-@register("c5_route_variants_load", "C5 J7 F7 J8 P12 W4 W5 E1", f"""WITH {_C5_SQL}
+@register("c5_route_variants_load", "C5 J7 F7 P12 W4 W5 E1",f"""WITH {_C5_SQL}
 SELECT * FROM variants WHERE stop_id IS NOT NULL AND route_id IS NOT NULL""")
 def q_c5_route_variants_load(spark, d):
     routes = _routes_doc(spark, d)
@@ -598,7 +588,7 @@ tt AS (
   FROM keys)"""
 
 
-@register("c6_timetables_load", "C6 A2 J8 P14 W5 A4", f"""WITH {_C6_SQL}
+@register("c6_timetables_load", "C6 A2 J8 P14 W5",f"""WITH {_C6_SQL}
 SELECT * FROM tt WHERE stop_id IN (SELECT id FROM stops_ok)""")
 def q_c6_timetables_load(spark, d):
     stops_ok = loads.load_stops(dv.stops_feed(spark, d)).accepted
@@ -677,7 +667,7 @@ def _doc_lines(spark, d):
     return lines.withColumn("is_header", (n > 0) & (n <= HEADER_MAX_CHARS))
 
 
-@register("x_text_blocks", "X1 X2 X5 S3", f"""WITH {_DOC_LINES_SQL}
+@register("x_text_blocks", "W3 W4",f"""WITH {_DOC_LINES_SQL}
 SELECT doc_id, pos,
        last_value(CASE WHEN is_header THEN trim(line) END IGNORE NULLS) OVER w AS header,
        CAST(pos - last_value(CASE WHEN is_header THEN pos END IGNORE NULLS) OVER w AS INTEGER) AS line_in_block,
@@ -725,6 +715,49 @@ def q_f3_f4_token_filters(spark, d):
     return ln.filter(keep).select("doc_id", "pos", first.alias("first_token"))
 
 
+# ---------------------------------------------------------------- parsers on texts written from the tables
+
+
+@register("x1_line_sections", "X1", tv.SECTIONS_SQL)
+def q_x1_line_sections(spark, d):
+    found = schedule_text.line_sections(tv.section_lines(spark, d))
+    return found.groupBy("line_nr", F.col("_rec").alias("section")).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+@register("x2_departures", "X2 X3", tv.DEPARTURES_SQL)
+def q_x2_departures(spark, d):
+    return schedule_text.departures(tv.section_lines(spark, d))
+
+
+@register("x4_calendar_block", "X4 E3 E4", f"""
+SELECT day, array_to_string(day_types, ',') AS codes FROM ({dv.CALENDAR_RAW_SQL}) c""")
+def q_x4_calendar_block(spark, d):
+    return schedule_text.calendar_days(tv.calendar_lines(spark, d)).select("day", F.array_join("day_types", ",").alias("codes"))
+
+
+@register("x7_route_documents", "X5 X6 X7 A5 F3", tv.ROUTE_DOCUMENTS_SQL)
+def q_x7_route_documents(spark, d):
+    lines = tv.route_lines(spark, d)
+    stops = schedule_text.tokenize_stops(schedule_text.route_stop_lines(lines))
+    docs = schedule_text.routes_documents(stops, schedule_text.route_headers(lines))
+    stop = lambda s: F.concat_ws(
+        "~", s["stop_nr"], s["stop_name"], s["street"], F.when(s["r_flag"], "r").otherwise(""),
+        s["min_time"].cast("string"), s["max_time"].cast("string"))
+    layout = F.transform("routes", lambda r: F.concat_ws(
+        ":", r["route_nr"], r["number_of_stops"].cast("string"), F.array_join(F.transform(r["stops"], stop), ",")))
+    return docs.select("line_nr", "number_of_routes", F.array_join(layout, ";").alias("layout"))
+
+
+@register("s4_stops_records", "S4 E3 P17", f"SELECT * FROM ({dv.STOPS_FEED_SQL}) f")
+def q_s4_stops_records(spark, d):
+    return readers.parse_stops(tv.stops_records(spark, d))
+
+
+@register("t2_flatten_pings", "T2 P5 E2", tv.SNAPSHOT_PINGS_SQL)
+def q_t2_flatten_pings(spark, d):
+    return readers.flatten_pings(tv.snapshots(spark, d))
+
+
 def queries() -> dict[str, Builder]:
     return {name: q.build for name, q in REGISTRY.items()}
 

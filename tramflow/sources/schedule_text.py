@@ -145,11 +145,11 @@ def departures(sections: DataFrame) -> DataFrame:
         .withColumn("_stop_line", F.coalesce(F.lag(is_rp).over(w), F.lit(False)))
         .withColumn("_cur_line", F.last(F.when(line.contains(LINE_MARKER), _tok(toks, 2)), ignorenulls=True).over(wr))
         .withColumn("_cur_stop", F.last(F.when(F.col("_stop_line"), _tok(toks, 1)), ignorenulls=True).over(wr))
-        .withColumn("_od_pos", F.last(F.when(is_od, F.col("pos")), ignorenulls=True).over(wr))
-        .withColumn("_od_n", F.last(F.when(is_od, _tok(toks, 2).try_cast("int")), ignorenulls=True).over(wr))
+        # one struct per marker line: a block with an unreadable count has none, not its predecessor's
+        .withColumn("_od", F.last(F.when(is_od, F.struct("pos", _tok(toks, 2).try_cast("int").alias("n"))), ignorenulls=True).over(wr))
     )
-    k = F.col("pos") - F.col("_od_pos")
-    deps = d.filter(~F.col("_is_od") & ~F.col("_stop_line") & (k >= 1) & (k <= F.col("_od_n")))
+    k = F.col("pos") - F.col("_od.pos")
+    deps = d.filter(~F.col("_is_od") & ~F.col("_stop_line") & (k >= 1) & (k <= F.col("_od.n")))
     hour_text = _tok(F.col("_toks"), 1)
     tag = F.split(_tok(F.col("_toks"), 2), "/")
     dep_sec = departure_seconds(hour_text)
@@ -174,9 +174,11 @@ def parse_timetable(spark: SparkSession, path: str, encoding: str = DEFAULT_ENCO
 def calendar_days(lines: DataFrame) -> DataFrame:
     """``*KA`` block lines -> (day, day_types): token 0 and tokens 2..."""
     w = Window.partitionBy("_rec").orderBy("pos").rowsBetween(*_ROWS)
-    toks = _tokens(F.col("line"))
-    d = lines.withColumn("_ka", F.min(F.when(F.col("line").contains(CALENDAR_START), F.col("pos"))).over(w))
-    body = d.filter((F.col("pos") > F.col("_ka")) & (F.length(F.trim(F.col("line"))) > 0))
+    line = F.col("line")
+    toks = _tokens(line)
+    opens, closes = line.contains(CALENDAR_START), line.contains(CALENDAR_END)
+    d = lines.withColumn("_open", F.last(F.when(opens, True).when(closes, False), ignorenulls=True).over(w))
+    body = d.filter(F.col("_open") & ~opens & F.col("line").rlike(r"\S"))
     return body.select(
         F.try_to_date(_tok(toks, 1), "yyyy-MM-dd").alias("day"),
         F.slice(toks, 3, F.greatest(F.size(toks) - 2, F.lit(0))).alias("day_types"),
@@ -184,7 +186,8 @@ def calendar_days(lines: DataFrame) -> DataFrame:
 
 
 def parse_calendar(spark: SparkSession, path: str, encoding: str = DEFAULT_ENCODING) -> DataFrame:
-    return calendar_days(record_lines(read_records(spark, path, CALENDAR_END, encoding)))
+    """The calendar block of the record that holds it (the preamble before the first section), so no record exceeds a section."""
+    return calendar_days(_section_lines(spark, path, encoding))
 
 
 # ------------------------------------------------------------------ X5-X7
@@ -204,18 +207,16 @@ def _route_marks(lines: DataFrame) -> DataFrame:
         .withColumn("_head_nr", F.last(F.when(is_head, _tok(toks, 2)), ignorenulls=True).over(wr))
         .withColumn("_n_routes", F.last(F.when(line.contains(ROUTES_MARKER), _tok(toks, 2).try_cast("int")), ignorenulls=True).over(wr))
         .withColumn("_prev_first", F.lag(_tok(toks, 1)).over(w))
-        .withColumn("_lw_pos", F.last(F.when(is_lw, F.col("pos")), ignorenulls=True).over(wr))
-        .withColumn("_lw_n", F.last(F.when(is_lw, _tok(toks, 2).try_cast("int")), ignorenulls=True).over(wr))
-        .withColumn("_route", F.last(F.when(is_lw, F.col("_prev_first")), ignorenulls=True).over(wr))
+        .withColumn("_lw", F.last(F.when(is_lw, F.struct("pos", _tok(toks, 2).try_cast("int").alias("n"), "_prev_first")), ignorenulls=True).over(wr))
     )
     ok_line = F.col("_head_nr").isNotNull() & ~F.col("_head_nr").isin(*EXCLUDED_LINES)
     return d.filter(ok_line).select(
         "_rec", "pos", "line", "_toks", "_is_lw",
         F.col("_head_nr").alias("line_nr"),
         F.col("_n_routes").alias("number_of_routes"),
-        F.col("_lw_pos").alias("route_pos"),
-        F.col("_route").alias("route_nr"),
-        F.col("_lw_n").alias("number_of_stops"),
+        F.col("_lw.pos").alias("route_pos"),
+        F.col("_lw._prev_first").alias("route_nr"),
+        F.col("_lw.n").alias("number_of_stops"),
     )
 
 
