@@ -1,9 +1,9 @@
 """Reference-data import -- schedule dump and stops feed to collections.
 
 The dump's line sections are read and split into lines once (materialized),
-then the timetable and the nested routes are both derived from them; the
-calendar blocks use their own record separator.  Each collection is replaced
-as a whole (S6).
+then the timetable, the nested routes and the calendar (whose block lies in the
+first section's record) are derived from them.  Each collection is replaced as a
+whole (S6).
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from tramflow.sources.readers import read_stops_feed
 from tramflow.sources.schedule_text import (
     DEFAULT_ENCODING,
     SECTION_END,
+    calendar_days,
     departures,
     line_sections,
-    parse_calendar,
     read_records,
     record_lines,
     route_headers,
@@ -42,7 +42,7 @@ def run_import(
     lines = materialize(record_lines(read_records(spark, dump_path, SECTION_END, encoding)))
     outputs = {
         "Timetable": departures(line_sections(lines)),
-        "Calendar": parse_calendar(spark, dump_path, encoding),
+        "Calendar": calendar_days(lines),
         "Stops": read_stops_feed(spark, stops_feed_path),
         "Routes": routes_documents(tokenize_stops(route_stop_lines(lines)), route_headers(lines)),
     }
