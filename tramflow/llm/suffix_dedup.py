@@ -75,13 +75,13 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(data) < LENGTH:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     places, hashes = [], []
-    for at in range(0, len(data) - LENGTH + 1, SCAN_BYTES):
+    for at in range(0, len(data) - ANCHOR + 1, SCAN_BYTES):  # anchors lie up to the last window
         low = max(at - LENGTH, 0)
         part = window_hashes(data[low : at + SCAN_BYTES + 2 * LENGTH], ANCHOR)
         least = sliding(np.minimum, part, WINDOWS)
         edge = np.zeros(WINDOWS - 1, np.uint64)
         chosen = np.flatnonzero(part == sliding(np.maximum, np.concatenate([edge, least, edge]), WINDOWS))
-        chosen = chosen[(chosen + low >= at) & (chosen + low < at + SCAN_BYTES)] if len(data) > SCAN_BYTES + LENGTH else chosen
+        chosen = chosen[(chosen + low >= at) & (chosen + low < at + SCAN_BYTES)]
         places.append(chosen + low)
         hashes.append(part[chosen])
     place, first = np.unique(np.concatenate(places), return_index=True)
