@@ -93,7 +93,9 @@ def periodic(data: np.ndarray, place: np.ndarray, hashed: np.ndarray) -> tuple[n
 
     Equal anchors at one distance of ``ANCHOR`` bytes or less make a region of that period. In a region of
     ``LENGTH`` bytes and two periods every 400-byte string starts again a period on or before, so it repeats as
-    a whole. A 400-byte string that leaves the region has its first or last anchor, in every text alike.
+    a whole. A 400-byte string that leaves the region has its first or last anchor, in every text alike. One
+    inside it may also be all that a shorter run in another text has, in any phase: the strings that start in
+    the region's first period are all phases, and each has its first anchor among the region's first two.
     """
     keep, regions = np.ones(len(place), bool), []
     if len(place) < 3:
@@ -110,7 +112,7 @@ def periodic(data: np.ndarray, place: np.ndarray, hashed: np.ndarray) -> tuple[n
             while high < len(data) and data[high] == data[high - p]:
                 high += 1
             if high - low >= LENGTH + 2 * p:
-                keep[a + 1 : b] = False
+                keep[a + 2 : b] = False
                 regions.append((low, high))
     return keep, regions
 
