@@ -256,6 +256,14 @@ def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARIT
     return links
 
 
+def node_labels(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``doc_id, node, label`` of every row; the rows of one label are a class."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    signed = signatures(docs).checkpoint()
+    label = components(near_links(docs, signed, similarity))
+    return signed.select("doc_id", "node").join(label, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label"))
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id, class_size, kept`` for every row of ``docs``.
 
@@ -264,15 +272,18 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     without words (null, empty, blank) are linked to equal texts only. A null id is larger than any
     other: a class has no id only if none of its rows has one. Repeated rows are counted one by one.
     """
-    ensure_checkpoint_dir(docs.sparkSession)
-    signed = signatures(docs).checkpoint()
-    label = components(near_links(docs, signed, similarity))
-    rows = signed.select("doc_id", "node").join(label, "node", "left").select("doc_id", F.coalesce("label", "node").alias("label"))
+    rows = node_labels(docs, similarity)
     classes = rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return rows.join(classes, "label").select("doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
 def one_of_each(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``docs`` that stay when each class keeps its first document; a repeated row stays once."""
-    kept = near_duplicates(docs, similarity).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    """The rows of ``docs`` that stay when each class keeps one text: its smallest id's, and of that id's the smallest node.
+
+    Null ids and repeated ids name no single text, so rows stay by id and text; a repeated row stays once.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("first")
+    kept = node_labels(docs, similarity).groupBy("label").agg(first).select(F.col("first.doc_id").alias("_kept"), F.col("first.node").alias("_node"))
+    node = node_of(F.coalesce("text", F.lit("")))
+    same = F.col("doc_id").eqNullSafe(F.col("_kept")) & (F.col("_text") == F.col("_node"))
+    return docs.withColumn("_text", node).join(kept, same, "left_semi").dropDuplicates(["doc_id", "_text"]).drop("_text")
