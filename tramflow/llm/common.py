@@ -18,6 +18,9 @@ BLANK = r"[\x20\x09-\x0D]+"
 #: Text handed to numpy at once, so a task's memory does not depend on batch or document counts.
 CHUNK_BYTES = 2 << 20
 
+#: No table has more keys than this with over one part in this many of its rows each.
+HEAVY_KEYS = 10_000
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``documents`` table, whole."""
@@ -142,3 +145,19 @@ def training_rows(docs: DataFrame, marks: DataFrame, column: str, per_class: int
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *(["lang"] if "lang" in docs.columns else []))
     return texts.where(F.char_length("text") <= max_chars).join(chosen, "doc_id").limit(2 * per_class)
 
+
+
+def join_measures(rows: DataFrame, measures: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with the columns of ``measures``, which has one row per ``key`` (a null is a key too) and its number of rows in ``count``.
+
+    A key that holds more than a ten-thousandth of all rows is heavy. There are fewer than
+    ``HEAVY_KEYS`` such keys in any table, so their measures are broadcast; the rows of all other
+    keys are shuffled, and no task gets more than that share of them for one key. ``measures`` should be
+    a written table: it is read three times. ``rows`` are computed twice.
+    """
+    total = measures.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]  # type: ignore[index]
+    measures = measures.withColumnRenamed(key, "_key").withColumn("_heavy", F.col(count) > F.lit(total // HEAVY_KEYS))
+    heavy = F.broadcast(measures.where("_heavy"))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    light = rows.join(heavy.select("_key"), same, "left_anti").join(measures.where("NOT _heavy"), same)
+    return rows.join(heavy, same).unionByName(light).drop("_key", "_heavy", count)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramflow.llm import byte_bpe, collinear, fingerprints, mixing, probminhash, quality_mil, rule_cascade, suffix_dedup, token_counts, toxicity_cnn
+from tramflow.llm import byte_bpe, collinear, fingerprints, mixing, probminhash, quality_mil, rule_cascade, suffix_dedup, token_counts, token_store, toxicity_cnn
 from tramflow.llm.common import documents, labels
+from tramflow.session import ensure_checkpoint_dir
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,8 +53,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op13_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{ensure_checkpoint_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    token_store.write(documents(spark, sf_dir), folder, public_tokenizers.path(token_store.VOCABULARY))
+    return token_store.read(spark, folder)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_byte_bpe, op4_quality_mil, op5_collinear, op6_toxicity_cnn, op7_probminhash, op8_suffix_dedup, op9_rule_cascade, op10_mixing)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_byte_bpe, op4_quality_mil, op5_collinear, op6_toxicity_cnn, op7_probminhash, op8_suffix_dedup, op9_rule_cascade, op10_mixing, op13_token_store)}
 
 
 def oracle_sql() -> dict[str, str]:
