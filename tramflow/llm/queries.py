@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tramflow.llm import byte_bpe, collinear, fingerprints, mixing, probminhash, quality_mil, rule_cascade, suffix_dedup, token_align, token_counts, token_store, toxicity_cnn
+from tramflow.llm import byte_bpe, collinear, fingerprints, mixing, probminhash, quality_mil, rule_cascade, suffix_dedup, token_align, token_counts, token_store, toxicity_cnn, vector_codes
 from tramflow.llm.common import documents, labels
 from tramflow.session import ensure_checkpoint_dir
 
@@ -57,6 +57,10 @@ def op11_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.aligned(documents(spark, sf_dir), public_tokenizers.path(token_align.VOCABULARY_A), public_tokenizers.path(token_align.VOCABULARY_B))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.coded(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark)}/token-store-{uuid.uuid4().hex}"
     token_store.write(documents(spark, sf_dir), folder, public_tokenizers.path(token_store.VOCABULARY))
@@ -64,7 +68,7 @@ def op13_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_byte_bpe, op4_quality_mil, op5_collinear, op6_toxicity_cnn, op7_probminhash, op8_suffix_dedup, op9_rule_cascade, op10_mixing, op11_token_align, op13_token_store)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_token_counts, op3_byte_bpe, op4_quality_mil, op5_collinear, op6_toxicity_cnn, op7_probminhash, op8_suffix_dedup, op9_rule_cascade, op10_mixing, op11_token_align, op12_vector_codes, op13_token_store)}
 
 
 def oracle_sql() -> dict[str, str]:
