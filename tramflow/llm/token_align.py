@@ -179,7 +179,7 @@ def tokenised(part: pa.RecordBatch, path_a: str, path_b: str) -> Aligned:
     return Aligned(a, a_rows, first.tokens.lengths[a], b, b_rows, second.tokens.lengths[b])
 
 
-def tokenise_distinct(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def tokenise_distinct(docs: DataFrame, path_a: str, path_b: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Rows of each distinct text and of each block's pairs; ``key`` is the SHA-256 of the text, null in rows of pairs.
 
     A text row has its number of documents ``n``, its own measures and, in ``links``, the place of each link's pair in
@@ -193,7 +193,7 @@ def tokenise_distinct(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for part in chunks(batch, limit=CHUNK_BYTES):
+            for part in chunks(batch, limit=min(CHUNK_BYTES, block_bytes)):
                 lines = tokenised(part, path_a, path_b)
                 text, borders = lines.written()
                 raw = text.tobytes()
@@ -202,7 +202,7 @@ def tokenise_distinct(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 own = [np.diff(x) for x in (lines.a_rows, lines.b_rows, lines.group_rows, lines.link_rows)]
                 held.append((part.column("key"), part.column("n"), own, hashes, lines.pairs(), lines.link_rows))
                 size += part.column("text").nbytes
-                if size >= BLOCK_BYTES:
+                if size >= block_bytes:
                     yield from rows_of(block, held)
                     block, held, size = block + 1, [], 0
         if held:
@@ -259,7 +259,7 @@ def score(texts: pa.Table, answers: pa.Table) -> pa.Table:
     return out.append_column("n_best", pa.array(sums(best[joined], offsets))).append_column("count_sum", pa.array(sums(count[joined], offsets)))
 
 
-def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+def aligned(docs: DataFrame, path_a: str, path_b: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every row.
 
     ``path_a`` names a byte-level vocabulary and ``path_b`` a piece vocabulary that every executor has.
@@ -270,7 +270,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(docs.sparkSession)}/token-align-{uuid.uuid4().hex}"
     read = docs.sparkSession.read.parquet
     docs = id_and_text(docs)
-    tokenise_distinct(docs, path_a, path_b).write.parquet(f"{folder}/made")
+    tokenise_distinct(docs, path_a, path_b, block_bytes).write.parquet(f"{folder}/made")
     made, texts = read(f"{folder}/made"), read(f"{folder}/made").where("key IS NOT NULL").drop("at", "pair")
     answers = made.where("key IS NULL").select("block", "at", "pair").join(pair_counts(made), "pair").select("block", "at", "count", "best")
     schema = "key binary, n long, n_a long, n_b long, n_groups long, n_links long, groups binary, n_best long, count_sum long"
