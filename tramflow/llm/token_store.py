@@ -13,9 +13,12 @@ again writes another file.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tramflow.llm.common import chunks, id_and_text
+from tramflow.llm.common import byte_letters, chunks, id_and_text
+from tramflow.llm.memo import Memo
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -39,38 +43,90 @@ DICTIONARY_BYTES = 64 << 10
 #: The dictionary is trained on about this many documents, twice as many at most, of this many code points at most. It bears on sizes alone.
 SAMPLE_ROWS = 2_000
 SAMPLE_CHARS = 8_000
-#: Words kept per worker, so that a frequent word is encoded once in a task; a memo alone.
-MEMO_WORDS = 400_000
-MEMO_WORD_BYTES = 64
 READ_BYTES = 4 << 20
+#: The vocabulary's normal form and its pattern for pieces (fixed values), and what it comes to for lowered words of printable Latin-1 characters.
+NORMAL_FORM = ["NFC", "Replace", "Lowercase"]
+RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PLAIN = re.compile("[\\t-\\r -~¡-ÿ]*")
+LETTERS, NUMBERS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
+OTHER, LETTER, NUMBER, SPACE = range(4)
+KINDS = np.array([next((k for k, r in ((LETTER, LETTERS), (NUMBER, NUMBERS), (SPACE, "\\t-\\r ")) if re.match(f"[{r}]", chr(b))), OTHER) for b in range(256)], np.uint8)
 
 
 class WordEncoder:
     """Ids of whole texts, as bytes.
 
-    The vocabulary's rules drop white space and never look across it, so a text's ids are those of its
-    words (split at ASCII white space) one after the other, and a word is encoded once.
+    A text of ASCII white space and printable Latin-1 characters is lowered and split by the vocabulary's own pattern, and needs
+    no normal form. The library's merges take each distinct piece once, by the letters that stand for its
+    bytes. Any other text, and one with a special token, goes to the library whole.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
-        self.memo: dict[bytes, bytes] = {}
+        rules = json.loads(self.tokenizer.to_str())
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in rules["added_tokens"]) or "(?!)")
+        steps = [(rules[k] or {}).get(f, [{}]) for k, f in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        known = [n.get("type") for n in steps[0]] == NORMAL_FORM and steps[1][0].get("pattern") == {"Regex": RULE}
+        self.plain = PLAIN if known else re.compile("(?!)")
+        self.merges = Tokenizer(self.tokenizer.model)  # type: ignore[attr-defined]
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for entry, i in vocabulary.items() if entry.endswith(rules["model"]["end_of_word_suffix"] or "\0")]] = True
+        self.letters = {byte: letter for letter, byte in byte_letters().items() if byte != 32}
+        self.memo = Memo(self._merged)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        rows = [text.encode().split() for text in texts]
-        new = list(set().union(*rows) - self.memo.keys())
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo.clear()
-            new = list(set().union(*rows))
-        made = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        here = {w: np.array(e.ids, self.kind).tobytes() for w, e in zip(new, made, strict=True)}
-        self.memo.update((w, ids) for w, ids in here.items() if len(w) <= MEMO_WORD_BYTES)
-        known = {**self.memo, **here} if any(len(w) > MEMO_WORD_BYTES for w in new) else self.memo
-        return [b"".join([known[w] for w in words]) for words in rows]
+        plain = [bool(self.plain.fullmatch(t)) and not self.special.search(t) for t in texts]
+        lowered = [t.lower().encode("latin-1") for t, ok in zip(texts, plain, strict=True) if ok]
+        offsets = np.append(0, np.cumsum(np.fromiter(map(len, lowered), np.int64, len(lowered))))
+        data = np.frombuffer(b"".join(lowered), np.uint8)
+        starts, lengths = split(data, offsets)
+        ids, ends = self.memo.spans(data, starts, lengths)
+        raw, width = ids.astype(self.kind).tobytes(), np.dtype(self.kind).itemsize
+        stops = ends[np.searchsorted(starts, offsets)] * width
+        rest = iter(self.tokenizer.encode_batch_fast([t for t, ok in zip(texts, plain, strict=True) if not ok], add_special_tokens=False))
+        spans = iter(zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True))
+        return [raw[slice(*next(spans))] if ok else np.array(next(rest).ids, self.kind).tobytes() for ok in plain]
+
+    def _merged(self, pieces: list[bytes]) -> list[bytes]:
+        """Pieces are merged many at a time; the last token of a piece is told by its id."""
+        lines = [b" ".join(pieces[at : at + 64]).decode("latin-1").encode().decode("latin-1").translate(self.letters) for at in range(0, len(pieces), 64)]
+        made = [array("I", e.ids) for e in self.merges.encode_batch_fast(lines, add_special_tokens=False)]
+        raw = b"".join(x.tobytes() for x in made)
+        stops = 4 * (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1)
+        return [raw[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=False)]
+
+
+def split(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and lengths of the pattern's matches in lowered Latin-1 texts.
+
+    A match is a run of letters, one digit, or a run of anything else but white space. An apostrophe that
+    begins a match takes a following s, t, re, ve, m, ll or d.
+    """
+    n = len(data)
+    kind = KINDS[data]
+    start = kind == NUMBER
+    start[1:] |= kind[1:] != kind[:-1]
+    start[offsets[:-1][np.diff(offsets) > 0]] = True
+    quote = np.flatnonzero((data == 39) & start)
+    room = offsets[np.searchsorted(offsets, quote, side="right")] - quote if len(quote) else quote
+    padded = np.append(data, [0, 0])
+    a, b = padded[quote + 1], padded[quote + 2]
+    one = np.isin(a, list(b"stmd")) & (room >= 2)
+    two = np.isin(a.astype(int) << 8 | b, [int.from_bytes(x, "big") for x in (b"re", b"ve", b"ll")]) & (room >= 3)
+    for some, size in ((quote[one], 2), (quote[two], 3)):
+        start[some + 1] = False
+        after = some + size
+        start[after[after < n]] = True
+    starts = np.flatnonzero(start)
+    lengths = np.diff(np.append(starts, n))
+    words = kind[starts] != SPACE
+    return starts[words], lengths[words]
 
 
 @lru_cache(maxsize=2)
