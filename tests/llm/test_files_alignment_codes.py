@@ -76,6 +76,23 @@ def test_words_one_by_one_give_the_ids_of_the_text(text):
     assert np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(max_codepoint=255), st.sampled_from(" \n'sStTrReEvVlLmMdD09!")), max_size=40), st.text(alphabet="ab's\u00e9\u00a0. ", max_size=9))
+def test_texts_of_latin_letters_are_split_as_the_library_does(text, other):
+    encoder = token_store.word_encoder(WORDS)
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in (text, other, "", text)]
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode([text, other, "", text])] == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \n\t'sreéñ漢1²,.▁\u3000")), max_size=40), max_size=5))
+def test_pieces_apart_give_the_ids_of_the_text(texts):
+    first, second = token_align.byte_level(A), token_align.pieces(B)
+    for got, whole in ((first.encode(texts), lambda t: first.tokenizer.encode(" " + t, add_special_tokens=False).ids), (second.encode(texts), second.processor.encode)):
+        ids, rows = got
+        assert [ids[a:b].tolist() for a, b in zip(rows[:-1], rows[1:])] == [whole(t) if t else [] for t in texts]
+
+
 def test_store_of_an_empty_table_and_of_too_few_rows_to_train_on(spark, odd, empty, scratch):
     folder, back = stored(spark, empty, scratch)
     assert back.count() == 0
@@ -100,7 +117,7 @@ def test_store_refuses_another_dictionary(spark, odd, scratch):
 def brute_alignment(rows):
     first, second = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
     first.encode_special_tokens = True
-    letters = {c: bytes([b]) for c, b in token_align.byte_letters().items()}
+    letters = {c: bytes([b]) for c, b in common.byte_letters().items()}
     spelled_a = {i: b"".join(letters.get(c, b"?") for c in e) for e, i in first.get_vocab().items()}
     spelled_b = {i: bytes([int(p[3:5], 16)]) if second.is_byte(i) else p.replace("▁", " ").encode() for i in range(second.get_piece_size()) for p in [second.id_to_piece(i)]}
     out, counts = [], Counter()

@@ -12,7 +12,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import sys
+import unicodedata
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,7 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramflow.llm.common import chunks, id_and_text, join_measures, ragged, text_bytes
+from tramflow.llm.byte_bpe import code_points, piece_starts
+from tramflow.llm.common import byte_letters, chunks, id_and_text, join_measures, ragged, text_bytes
+from tramflow.llm.memo import Memo
 from tramflow.session import ensure_checkpoint_dir
 
 VOCABULARY_A = "byte_bpe_50k.json"
@@ -34,13 +39,6 @@ BLOCK_BYTES = 8 << 20
 MEASURES = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
-def byte_letters() -> dict[str, int]:
-    """The printable letter that byte-level vocabularies write for each byte: itself, or the next free one from U+0100 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
-
-
 class Tokens:
     """Bytes of every id of a vocabulary, one after the other."""
 
@@ -57,7 +55,7 @@ class ByteLevel:
     """A byte-level vocabulary; strings of special tokens in a text are plain text."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
@@ -68,9 +66,42 @@ class ByteLevel:
         for entry, i in vocabulary.items():
             tokens[i] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
         self.tokens = Tokens(tokens)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        self.merges = Tokenizer(self.tokenizer.model)  # type: ignore[attr-defined]
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters = {byte: letter for letter, byte in letters.items()}
+        self.memo = Memo(self._merged)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each text behind a space, one text after the other, and row offsets into them.
+
+        The vocabulary's pattern is matched by classes of characters, and each distinct match is merged once by the library. A text
+        with characters that have changed their class since Unicode 3.2, so that libraries may not agree, is encoded whole.
+        """
+        data, offsets = text_bytes(pa.array([" " + t if t else "" for t in texts], pa.large_string()))
+        points, at = code_points(data)
+        rows = np.searchsorted(offsets, at[np.flatnonzero(unsettled()[points])], side="right") - 1
+        whole = np.zeros(len(texts), bool)
+        whole[rows] = True
+        begins = offsets[:-1][np.diff(offsets) > 0]
+        starts = at[piece_starts(points, np.searchsorted(at, begins))] if len(data) else np.zeros(0, np.int64)
+        lengths = np.diff(np.append(starts, len(data)))
+        if whole.any():
+            keep = ~whole[np.searchsorted(offsets, starts, side="right") - 1]
+            starts, lengths = starts[keep], lengths[keep]
+        ids, ends = self.memo.spans(data, starts, lengths)
+        stops = ends[np.searchsorted(starts, offsets)]
+        if not whole.any():
+            return ids, stops
+        made = iter(self.tokenizer.encode_batch_fast([" " + texts[i] for i in np.flatnonzero(whole)], add_special_tokens=False))
+        return flat([np.array(next(made).ids, np.uint32) if w else ids[a:b] for w, a, b in zip(whole, stops[:-1], stops[1:], strict=True)])
+
+    def _merged(self, pieces: list[bytes]) -> list[bytes]:
+        """Pieces are merged many at a time, by the letters of their bytes, and told apart by their lengths."""
+        lines = [" ".join([p.decode("latin-1").translate(self.letters) for p in pieces[at : at + 64]]) for at in range(0, len(pieces), 64)]
+        raw = b"".join(array("I", e.ids).tobytes() for e in self.merges.encode_batch_fast(lines, add_special_tokens=False))
+        ends = np.cumsum(self.tokens.lengths[np.frombuffer(raw, "<u4")])
+        stops = 4 * (np.searchsorted(ends, np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))) + 1)
+        return [raw[a:b] for a, b in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
 
 
 class Pieces:
@@ -82,13 +113,41 @@ class Pieces:
         self.processor = sentencepiece.SentencePieceProcessor(model_file=path)
         n = self.processor.get_piece_size()
         self.tokens = Tokens([self._bytes(i) for i in range(n)])
+        self.space = array("I", [self.processor.piece_to_id("▁")]).tobytes()
+        # where no piece goes on from other characters to a space, spaces and what follows them are encoded apart
+        self.apart = not any("▁" in self.processor.id_to_piece(i).lstrip("▁") for i in range(n))
+        self.memo = Memo(self._units)
 
     def _bytes(self, i: int) -> bytes:
         piece = self.processor.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.processor.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.processor.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each text behind the space that the vocabulary adds, one text after the other, and row offsets into them."""
+        data, offsets = text_bytes(pa.array([" " + t if t else "" for t in texts], pa.large_string()))
+        space = data == 32
+        start = space.copy()
+        start[1:] &= ~space[:-1]
+        begins = offsets[:-1][np.diff(offsets) > 0]
+        start[begins] = True
+        whole = np.array([not self.apart or "▁" in t for t in texts], bool)
+        starts = np.flatnonzero(start)
+        if whole.any():
+            row = np.searchsorted(offsets, starts, side="right") - 1
+            starts = starts[~whole[row] | (starts == offsets[row])]
+        ids, ends = self.memo.spans(data, starts, np.diff(np.append(starts, len(data))))
+        return ids, ends[np.searchsorted(starts, offsets)]
+
+    def _units(self, units: list[bytes]) -> list[bytes]:
+        made = self.processor.encode([u[1:].decode() for u in units], num_threads=1)
+        return [array("I", ids).tobytes() if len(u) > 1 else self.space for u, ids in zip(units, made, strict=True)]
+
+
+@lru_cache(maxsize=1)
+def unsettled() -> np.ndarray:
+    """True for code points that are unassigned, or were in Unicode 3.2 or had another category there."""
+    old, now = unicodedata.ucd_3_2_0.category, unicodedata.category
+    return np.fromiter((now(chr(c)) == "Cn" or old(chr(c)) != now(chr(c)) for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
 
 
 @lru_cache(maxsize=2)
@@ -101,10 +160,9 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def flat(rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """All ids one after the other, and row offsets into them."""
-    offsets = np.append(0, np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows))))
-    return np.fromiter((i for row in rows for i in row), np.int64, int(offsets[-1])), offsets
+    return np.concatenate(rows), np.append(0, np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows))))
 
 
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -132,8 +190,10 @@ class Aligned:
     def __init__(self, a: np.ndarray, a_rows: np.ndarray, a_bytes: np.ndarray, b: np.ndarray, b_rows: np.ndarray, b_bytes: np.ndarray):
         self.a, self.b, self.a_rows, self.b_rows = a, b, a_rows, b_rows
         self.a_ends, self.b_ends = np.cumsum(a_bytes), np.cumsum(b_bytes)
-        self.cuts = np.intersect1d(self.a_ends, self.b_ends, assume_unique=True)
-        ends = np.union1d(self.a_ends, self.b_ends)
+        both = np.concatenate([self.a_ends, self.b_ends])
+        both.sort(kind="stable")  # two sorted runs
+        last = np.append(both[1:] != both[:-1], True)[: len(both)]
+        self.cuts, ends = both[~last], both[last]
         self.link_a, self.link_b = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
         row_ends = np.append(0, self.a_ends)[a_rows]
         self.link_rows, self.group_rows = np.searchsorted(ends, row_ends, side="right"), np.searchsorted(self.cuts, row_ends, side="right")
@@ -167,8 +227,8 @@ def tokenised(part: pa.RecordBatch, path_a: str, path_b: str) -> Aligned:
     first, second = byte_level(path_a), pieces(path_b)
     texts = part.column("text").to_pylist()
     wanted, borders = text_bytes(pa.array([" " + t if t else "" for t in texts], pa.large_string()))
-    a, a_rows = flat(first.encode(texts))
-    b, b_rows = flat(second.encode(texts))
+    (a, a_rows), (b, b_rows) = first.encode(texts), second.encode(texts)
+    a, b = a.astype(np.int64), b.astype(np.int64)
     good = spelled(a, a_rows, first.tokens, wanted, borders) & spelled(b, b_rows, second.tokens, wanted, borders)
 
     def of_good(ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
