@@ -9,13 +9,29 @@ from tramflow.operators.quality import (
     Split,
     dedupe_keep_first,
     load_counts,
+    mark_keep_first,
     max_id,
     split_foreign_key,
+    split_marked,
     split_not_null,
 )
-from tramflow.operators.windows import change_marker, forward_fill, previous_distinct, sequence_number
+from tramflow.operators.windows import (
+    LastChange,
+    LastValue,
+    Number,
+    Previous,
+    change_marker,
+    forward_fill,
+    previous_distinct,
+    segmented_scan,
+    sequence_number,
+)
 
 __all__ = [
+    "LastChange",
+    "LastValue",
+    "Number",
+    "Previous",
     "Split",
     "assemble",
     "band_join",
@@ -25,11 +41,14 @@ __all__ = [
     "drop_nested",
     "forward_fill",
     "load_counts",
+    "mark_keep_first",
     "max_id",
     "nearest_match",
     "previous_distinct",
+    "segmented_scan",
     "sequence_number",
     "split_foreign_key",
+    "split_marked",
     "split_not_null",
     "unwind",
     "with_dense_ids",

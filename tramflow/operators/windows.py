@@ -1,15 +1,21 @@
-"""Ordered-sequence operators: change detection, forward fill, previous distinct.
+"""Ordered-sequence operators: change detection, forward fill, row numbers, previous distinct.
 
 All windows are partitioned (never one global partition) and use a ROWS frame
 with a complete order, so ties cannot see each other and results are
 deterministic.
+
+``segmented_scan`` computes them for groups of any size.  A group is cut into
+chunks by a column that never falls along the order.  Each chunk is scanned on
+its own, in tasks of its own; one summary row per chunk is scanned per group; what
+it carries across the chunk's border is joined back to the rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tramflow.functions._cols import as_col
@@ -37,6 +43,157 @@ def sequence_number(df: DataFrame, partition_by: Sequence, order_by: Sequence, o
     return df.withColumn(out, F.row_number().over(_w(partition_by, order_by)))
 
 
+_BEFORE = (Window.unboundedPreceding, -1)
+_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
+
+
+@dataclass(frozen=True)
+class Number:
+    """1-based position in the group."""
+
+    def local(self, w: WindowSpec) -> dict[str, Column]:
+        return {}
+
+    def summary(self, c: Mapping[str, Column]) -> dict[str, Column]:
+        return {"n": F.count(F.lit(1))}
+
+    def carry(self, c: Mapping[str, Column], w: WindowSpec) -> dict[str, Column]:
+        return {"before": F.coalesce(F.sum(c["n"]).over(w.rowsBetween(*_BEFORE)), F.lit(0))}
+
+    def result(self, c: Mapping[str, Column], first: Column) -> Column:
+        return c["before"] + F.col("_rn")
+
+
+@dataclass(frozen=True)
+class Previous:
+    """The previous row's value, NULL in the group's first row (``lag``)."""
+
+    value: str
+
+    def local(self, w: WindowSpec) -> dict[str, Column]:
+        return {"lag": F.lag(self.value).over(w)}
+
+    def summary(self, c: Mapping[str, Column]) -> dict[str, Column]:
+        return {"last": F.max_by(F.col(self.value), F.col("_rn"))}
+
+    def carry(self, c: Mapping[str, Column], w: WindowSpec) -> dict[str, Column]:
+        return {"border": F.lag(c["last"]).over(w)}
+
+    def result(self, c: Mapping[str, Column], first: Column) -> Column:
+        return F.when(first, c["border"]).otherwise(c["lag"])
+
+
+@dataclass(frozen=True)
+class LastValue:
+    """The last non-NULL value up to and including the row."""
+
+    value: str
+
+    def local(self, w: WindowSpec) -> dict[str, Column]:
+        return {"fill": F.last(self.value, ignorenulls=True).over(w.rowsBetween(*_SO_FAR))}
+
+    def summary(self, c: Mapping[str, Column]) -> dict[str, Column]:
+        return {"end": F.max_by(c["fill"], F.col("_rn"))}
+
+    def carry(self, c: Mapping[str, Column], w: WindowSpec) -> dict[str, Column]:
+        return {"before": F.last(c["end"], ignorenulls=True).over(w.rowsBetween(*_BEFORE))}
+
+    def result(self, c: Mapping[str, Column], first: Column) -> Column:
+        return F.coalesce(c["fill"], c["before"])
+
+
+@dataclass(frozen=True)
+class LastChange:
+    """The value before the last change, NULL until the first one (W6): the last non-NULL
+    of ``when(v != previous, previous)``.  A chunk's first row changes against the chunk before."""
+
+    value: str
+
+    def local(self, w: WindowSpec) -> dict[str, Column]:
+        prev = F.lag(self.value).over(w)
+        # windows can't nest: the marker is a column of its own, then filled
+        return {"mark": F.when(F.col(self.value) != prev, prev)}
+
+    def second(self, c: Mapping[str, Column], w: WindowSpec) -> dict[str, Column]:
+        return {"fill": F.last(c["mark"], ignorenulls=True).over(w.rowsBetween(*_SO_FAR))}
+
+    def summary(self, c: Mapping[str, Column]) -> dict[str, Column]:
+        return {
+            "start": F.min_by(F.col(self.value), F.col("_rn")),
+            "last": F.max_by(F.col(self.value), F.col("_rn")),
+            "end": F.max_by(c["fill"], F.col("_rn")),
+        }
+
+    def carry(self, c: Mapping[str, Column], w: WindowSpec) -> dict[str, Column]:
+        prev = F.lag(c["last"]).over(w)
+        return {"border": F.when(c["start"] != prev, prev)}
+
+    def carry_second(self, c: Mapping[str, Column], w: WindowSpec) -> dict[str, Column]:
+        return {"before": F.last(F.coalesce(c["end"], c["border"]), ignorenulls=True).over(w.rowsBetween(*_BEFORE))}
+
+    def result(self, c: Mapping[str, Column], first: Column) -> Column:
+        return F.coalesce(c["fill"], c["border"], c["before"])
+
+
+Scan = Number | Previous | LastValue | LastChange
+
+
+def segmented_scan(
+    df: DataFrame, partition_by: Sequence[str], order_by: Sequence, split_by: Column, scans: Mapping[str, Scan]
+) -> DataFrame:
+    """``df`` with one column per scan, equal to the plain window over the whole group.
+
+    ``split_by`` never falls along ``order_by`` (the hour or date of an ordering timestamp, a
+    bucket of an ordering number) and cuts every group into chunks; NULL is a
+    chunk of its own and must come first.  The rows are shuffled once, by group and chunk, and
+    the join of the carried state reuses that partitioning.  Per group only its
+    chunks' summaries, a row each, meet in one task.
+    """
+    # the group key as one struct: struct equality takes NULL fields as equal, so a plain
+    # equi-join on the window's own partitioning brings the state back
+    key = F.struct(*[F.col(c) for c in partition_by])
+    rows = df.withColumn("_pk", key).withColumn("_chunk", F.struct(split_by.alias("c")))
+    parts = ["_pk", "_chunk"]
+    w = _w(parts, order_by)
+    ws = Window.partitionBy("_pk").orderBy("_chunk")
+
+    def named(at: int, columns: Mapping[str, Column]) -> dict[str, Column]:
+        return {f"_{at}_{name}": column for name, column in columns.items()}
+
+    class Of(dict):
+        """Columns of one scan by their short names."""
+
+        def __init__(self, at: int):
+            self.at = at
+
+        def __missing__(self, name: str) -> Column:
+            return F.col(f"_{self.at}_{name}")
+
+    each = list(enumerate(scans.values()))
+    have = {"_rn": F.row_number().over(w)}
+    for at, scan in each:
+        have |= named(at, scan.local(w))
+    rows = rows.withColumns(have)
+    filled = {k: v for at, scan in each if isinstance(scan, LastChange) for k, v in named(at, scan.second(Of(at), w)).items()}
+    rows = rows.withColumns(filled) if filled else rows
+
+    sums: dict[str, Column] = {}
+    for at, scan in each:
+        sums |= named(at, scan.summary(Of(at)))
+    summary = rows.groupBy(*parts).agg(*[c.alias(n) for n, c in sums.items()])
+    carried: dict[str, Column] = {}
+    for at, scan in each:
+        carried |= named(at, scan.carry(Of(at), ws))
+    summary = summary.withColumns(carried)
+    late = {k: v for at, scan in each if isinstance(scan, LastChange) for k, v in named(at, scan.carry_second(Of(at), ws)).items()}
+    summary = summary.withColumns(late) if late else summary
+
+    out = rows.join(summary.select(*parts, *carried, *late), parts)
+    first = F.col("_rn") == 1
+    out = out.withColumns({name: scan.result(Of(at), first) for (at, scan), name in zip(each, scans, strict=True)})
+    return out.drop(*parts, *have, *filled, *carried, *late)
+
+
 def previous_distinct(
     df: DataFrame,
     value: str,
@@ -48,51 +205,14 @@ def previous_distinct(
     """For each row, the value of the previous run of equal values.
 
     Equals ``last(when(v != lag(v), lag(v)), ignorenulls)`` over the group in
-    order: NULL in the first run of each group.
-
-    ``split_by`` (a column non-decreasing along ``order_by``, e.g. the hour of a
-    timestamp) splits every group into chunks so that one hot group is spread
-    over many tasks.  Each chunk is scanned on its own; a small per-chunk
-    summary (first value, last value, last change) carries the state across
-    chunk borders, and is joined back.  The result is identical to the
-    unsplit scan.
+    order: NULL in the first run of each group.  With ``split_by`` a hot group is
+    spread over many tasks (``segmented_scan`` of ``LastChange``); the result is the same.
     """
-    if split_by is None:
-        w = _w(partition_by, order_by)
-        prev = F.lag(value).over(w)
-        chg = F.when(F.col(value) != prev, prev)
-        return df.withColumn("_chg", chg).withColumn(
-            out, F.last("_chg", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        ).drop("_chg")
-
-    # The group key is packed into one struct: struct equality treats NULL
-    # fields as equal, so the join back below is a plain equi-join on the
-    # same columns the window is partitioned by (no second shuffle of the rows).
-    d1 = df.withColumn("_pk", F.struct(*[F.col(c) for c in partition_by])).withColumn("_chunk", split_by)
-    parts = ["_pk", "_chunk"]
-    wc = _w(parts, order_by)
-    prev = F.lag(value).over(wc)
-    d2 = (
-        d1.withColumn("_rn", F.row_number().over(wc))
-        .withColumn("_chg", F.when(F.col(value) != prev, prev))
-        .withColumn("_loc", F.last("_chg", ignorenulls=True).over(wc.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    )
-    summary = d2.groupBy(*parts).agg(
-        F.max_by(F.col(value), F.when(F.col("_rn") == 1, F.lit(1)).otherwise(F.lit(0))).alias("_first"),
-        F.max_by(F.col(value), F.col("_rn")).alias("_last"),
-        F.max_by(F.col("_loc"), F.col("_rn")).alias("_lastchg"),
-    )
-    ws = Window.partitionBy("_pk").orderBy("_chunk")
-    prev_last = F.lag("_last").over(ws)
-    s2 = summary.withColumn("_bchg", F.when(F.col("_first") != prev_last, prev_last)).withColumn(
-        "_end",
-        F.last(F.coalesce(F.col("_lastchg"), F.col("_bchg")), ignorenulls=True).over(
-            ws.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ),
-    )
-    s3 = s2.withColumn("_carry", F.lag("_end").over(ws)).select(*parts, "_bchg", "_carry")
-    return (
-        d2.join(s3, parts, "left")
-        .withColumn(out, F.coalesce(F.col("_loc"), F.col("_bchg"), F.col("_carry")))
-        .drop("_pk", "_chunk", "_rn", "_chg", "_loc", "_bchg", "_carry")
-    )
+    if split_by is not None:
+        return segmented_scan(df, partition_by, order_by, split_by, {out: LastChange(value)})
+    w = _w(partition_by, order_by)
+    prev = F.lag(value).over(w)
+    chg = F.when(F.col(value) != prev, prev)
+    return df.withColumn("_chg", chg).withColumn(
+        out, F.last("_chg", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ).drop("_chg")

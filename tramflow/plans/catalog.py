@@ -20,7 +20,7 @@ from tramflow.functions.timeofday import seconds_to_hms
 from tramflow.operators.ids import with_dense_ids
 from tramflow.operators.nested import drop_nested, unwind
 from tramflow.operators.quality import dedupe_keep_first, load_counts, max_id
-from tramflow.operators.windows import change_marker, forward_fill, sequence_number
+from tramflow.operators.windows import LastValue, Number, Previous, segmented_scan
 from tramflow.plans import delays, inputs, loads
 from tramflow.plans import driver_views as dv
 from tramflow.plans import oracle_delays as od
@@ -361,8 +361,10 @@ SELECT event_id, user_id, event_type,
 FROM events""")
 def q_w2_change_detection(spark, d):
     ev = dv.table(spark, d, "events", ["event_id", "user_id", "event_type", "ts"])
-    return ev.select("event_id", "user_id", "event_type",
-                     change_marker("event_type", ["user_id"], ["ts", "event_id"]).alias("prev_type"))
+    # a busy user's events are cut by date
+    seen = segmented_scan(ev, ["user_id"], ["ts", "event_id"], F.to_date("ts"), {"_prev": Previous("event_type")})
+    return seen.select("event_id", "user_id", "event_type",
+                       F.when(F.col("event_type") != F.col("_prev"), F.col("_prev")).alias("prev_type"))
 
 
 @register("w3_forward_fill", "W3", f"""
@@ -373,7 +375,8 @@ FROM events""")
 def q_w3_forward_fill(spark, d):
     ev = dv.table(spark, d, "events", ["event_id", "user_id", "event_type", "ts"])
     mark = ev.withColumn("_e", F.when(F.col("event_type") == "error", F.col("event_id")))
-    return mark.select("event_id", "user_id", forward_fill("_e", ["user_id"], ["ts", "event_id"]).alias("last_error_id"))
+    filled = segmented_scan(mark, ["user_id"], ["ts", "event_id"], F.to_date("ts"), {"last_error_id": LastValue("_e")})
+    return filled.select("event_id", "user_id", "last_error_id")
 
 
 @register("w4_sequence_number", "W4", """
@@ -384,9 +387,11 @@ FROM lineitem""")
 def q_w4_sequence_number(spark, d):
     li = dv.table(spark, d, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                                          "l_extendedprice", "l_discount", "l_tax", "l_shipdate"])
-    out = sequence_number(
+    # an order of very many items is cut by its leading sort column
+    out = segmented_scan(
         li, ["l_orderkey"],
         ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"],
+        F.floor(F.col("l_linenumber") / 4), {"seq_nr": Number()},
     )
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("seq_nr").cast("int"))
 
