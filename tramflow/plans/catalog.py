@@ -7,6 +7,8 @@ caps) and every computed column carries the same alias on both sides.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -19,13 +21,16 @@ from tramflow.functions.keys import line_name, numeric_stop_id, null_literal, sp
 from tramflow.functions.timeofday import seconds_to_hms
 from tramflow.operators.ids import with_dense_ids
 from tramflow.operators.nested import drop_nested, unwind
-from tramflow.operators.quality import dedupe_keep_first, load_counts, max_id
+from tramflow.operators.quality import max_id
 from tramflow.operators.windows import LastValue, Number, Previous, segmented_scan
-from tramflow.plans import delays, inputs, loads
+from tramflow.plans import delays, inputs, jobs, loads
 from tramflow.plans import driver_views as dv
 from tramflow.plans import oracle_delays as od
 from tramflow.plans import text_views as tv
+from tramflow.session import ensure_checkpoint_dir
 from tramflow.sources import readers, schedule_text
+from tramflow.sources.sinks import read_published
+from tramflow.streaming import dedupe_pings, load_snapshots, ping_stream, stream_delays, stream_nearest
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -75,9 +80,39 @@ _DIRECTION_COLS = ["Lines", "VehicleNumber", "Date", "CurrTramTime", "StopName",
 # ---------------------------------------------------------------- C1 and its stages
 
 
+def _scratch(spark, name: str) -> str:
+    """A new folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _delay_inputs(spark, d) -> jobs.DelayInputs:
+    return jobs.DelayInputs(dv.route_stops(spark, d), dv.timetable(spark, d), dv.calendar_raw(spark, d))
+
+
 @register("c1_delay_fact", "C1 S14 P7 P8", od.FACT_SQL)
 def q_c1_delay_fact(spark, d):
-    return delays.delay_fact(_direction(spark, d))
+    """The daily job over all days, and the fact read back from its date partitions."""
+    pings, path = dv.pings(spark, d), _scratch(spark, "fact")
+    bounds = jobs.day_bounds(pings)
+    if bounds:
+        jobs.delay_days(pings, _delay_inputs(spark, d), path, *bounds)
+    return jobs.read_fact(spark, path) if bounds else spark.createDataFrame([], jobs.FACT_SCHEMA)
+
+
+@register("c1_day_job", "C1 S14 S7", od.FACT_SQL)
+def q_c1_day_job(spark, d):
+    """The daily job run for two overlapping stretches of days, the second one twice: each run
+    replaces its own days, so the fact holds every row once."""
+    pings, given, path = dv.pings(spark, d), _delay_inputs(spark, d), _scratch(spark, "fact")
+    bounds = jobs.day_bounds(pings)
+    if not bounds:
+        return spark.createDataFrame([], jobs.FACT_SCHEMA)
+    first, last = bounds
+    middle = first + (last - first) / 2
+    jobs.delay_days(pings, given, path, first, middle)
+    for _ in range(2):
+        jobs.delay_days(pings, given, path, middle, last)
+    return jobs.read_fact(spark, path)
 
 
 @register("j9_nearest_stop", "J9 J3 P18 W1 F1 A1 U1", od.NEAREST_SQL)
@@ -180,33 +215,80 @@ def q_o1_sorted_fact(spark, d):
     return delays.delay_fact(_direction(spark, d)).orderBy("VehicleNumber", "Date", "DepTime", "StopNo", "Delay")
 
 
-@register("t5_stream_nearest", "T1 T4 T5", f"""WITH {od.CTE_TRAMS}
-SELECT Lines, Brigade, Time, VehicleNumber, Lat, Lon, stop_nr, StopName, Unit, distance FROM trams
-WHERE Time <= (SELECT max(Time) FROM pings) - INTERVAL 10 MINUTE""")
-def q_t5_stream_nearest(spark, d):
-    """The events table replayed as a file stream through the streaming
-    nearest-stop operator (availableNow); groups within the watermark delay of
-    the last event are still open and not emitted."""
-    import uuid
-
-    from tramflow.session import ensure_checkpoint_dir
-    from tramflow.streaming import dedupe_pings, stream_nearest
-
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/t5-{uuid.uuid4().hex}"
-    events = spark.read.parquet(f"{d}/events.parquet")
-    # a file stream needs a folder or a pattern; this one matches only the events file
-    stream = spark.readStream.schema(events.schema).parquet(f"{d}/event[s].parquet")
-    near = stream_nearest(dedupe_pings(dv.pings_from_events(stream)), delays.stop_candidates(dv.route_stops(spark, d)))
+PARTS = 4  # deliveries of snapshots in the streaming queries
+
+
+def _delivered(spark, base, deliveries, start):
+    """Run the query that ``start`` starts (until no file is left) after each delivery of snapshots."""
     # the state store keeps its partition count for the checkpoint's lifetime:
     # choose it for this stream instead of inheriting the batch setting
     with _conf(spark, "spark.sql.shuffle.partitions", str(_state_partitions(spark))):
-        q = (near.writeStream.format("parquet").option("path", f"{base}/out")
-             .option("checkpointLocation", f"{base}/checkpoint").outputMode("append")
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return spark.read.schema(near.schema).parquet(f"{base}/out")
+        for snapshots in deliveries:
+            snapshots.write.mode("append").text(f"{base}/in")
+            q = start()
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))
+
+
+def _written(spark, base, frame, deliveries):
+    """What ``frame`` of the snapshots' stream has written after all deliveries."""
+    spark.createDataFrame([], "json string").write.mode("append").text(f"{base}/in")  # the folder must be there
+    stream = frame(ping_stream(spark, f"{base}/in", multi_line=False, archive_dir=f"{base}/archive").drop("CurrTramTime", "DateText"))
+    _delivered(spark, base, deliveries, lambda: (
+        stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+        .outputMode("append").trigger(availableNow=True).start()))
+    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+
+
+def _timed_deliveries(spark, d):
+    """All pings in deliveries that follow each other in time, the last five minutes of each repeated in the next, and a closing ping."""
+    row = dv.pings(spark, d).agg(F.min("Time").alias("low"), F.max("Time").alias("high")).first()
+    low, high = row["low"] or dt.datetime(2024, 1, 1), row["high"] or dt.datetime(2024, 1, 1)
+    step = int((high - low).total_seconds()) // PARTS + 1
+    sec = F.timestamp_diff("SECOND", F.lit(low).cast("timestamp_ntz"), F.col("Time"))
+    part = F.floor(sec / step).cast("int")
+    repeated = (sec % step >= step - 300) & (F.col("_part") < PARTS - 1)
+    return [*tv.snapshot_parts(spark, d, part, PARTS, repeated), tv.closing_snapshot(spark, high)]
+
+
+def _quarter_of_day():
+    return F.floor(F.hour("Time") / 6).cast("int")
+
+
+@register("t1_ping_stream", "T1 T2 S1", dv.PINGS_SQL)
+def q_t1_ping_stream(spark, d):
+    """Four deliveries of snapshot files, read as a stream and archived."""
+    deliveries = tv.snapshot_parts(spark, d, _quarter_of_day(), PARTS)
+    return _written(spark, _scratch(spark, "t1"), lambda pings: pings, deliveries).select(*dv.pings(spark, d).columns)
+
+
+@register("t4_repeated_pings", "T1 T4", f"SELECT DISTINCT Lines, Brigade, Time, VehicleNumber FROM ({dv.PINGS_SQL}) p")
+def q_t4_repeated_pings(spark, d):
+    """Pings that come in two deliveries count once."""
+    once = _written(spark, _scratch(spark, "t4"), dedupe_pings, _timed_deliveries(spark, d))
+    return once.filter(F.col("VehicleNumber") != tv.CLOSING).select("Lines", "Brigade", "Time", "VehicleNumber")
+
+
+@register("t5_stream_nearest", "T1 T4 T5", f"""WITH {od.CTE_TRAMS}
+SELECT Lines, Brigade, Time, VehicleNumber, Lat, Lon, stop_nr, StopName, Unit, distance FROM trams""")
+def q_t5_stream_nearest(spark, d):
+    """The pings in several deliveries through the streaming nearest-stop operator. A closing ping moves the
+    watermark past all of them; its own group stays open and is not emitted."""
+    cands = delays.stop_candidates(dv.route_stops(spark, d))
+    return _written(spark, _scratch(spark, "t5"), lambda pings: stream_nearest(dedupe_pings(pings), cands), _timed_deliveries(spark, d))
+
+
+@register("t5_stream_delays", "T5 J4 J5", od.RESULTS_SQL)
+def q_t5_stream_delays(spark, d):
+    """Delays of the streamed pings against the static timetable and calendar."""
+    cands = delays.stop_candidates(dv.route_stops(spark, d))
+    timetable, calendar = delays.materialize(dv.timetable(spark, d)), delays.calendar(dv.calendar_raw(spark, d))
+
+    def found(pings):
+        return stream_delays(stream_nearest(dedupe_pings(pings), cands), timetable, calendar)
+
+    return _written(spark, _scratch(spark, "t5d"), found, _timed_deliveries(spark, d)).distinct()
 
 
 def _state_partitions(spark) -> int:
@@ -464,8 +546,10 @@ SELECT CAST(count(*) FILTER (WHERE rn = 1) AS BIGINT) AS accepted,
        (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT unit, post FROM ({dv.STOPS_FEED_SQL}) f) u) AS distinct_unit_post
 FROM ranked""")
 def q_c3_stops_counts(spark, d):
+    """Both counts as observed by the one write of the marked rows."""
     feed = dv.stops_feed(spark, d)
-    counts = load_counts(loads.load_stops(feed))
+    accepted, rejected = jobs.publish_marked(loads.mark_stops(feed), _scratch(spark, "stops"))
+    counts = spark.createDataFrame([(accepted, rejected)], "accepted long, rejected long")
     n_in = feed.select(F.count(F.lit(1)).alias("n")).scalar()
     n_keys = feed.select(F.count_distinct("unit", "post").alias("n")).scalar()
     return counts.select("accepted", "rejected", n_in.alias("input_rows"), n_keys.alias("distinct_unit_post"))
@@ -565,8 +649,8 @@ variants AS (
 SELECT * FROM variants WHERE stop_id IS NOT NULL AND route_id IS NOT NULL""")
 def q_c5_route_variants_load(spark, d):
     routes = _routes_doc(spark, d)
-    stops_ok = loads.load_stops(dv.stops_feed(spark, d)).accepted
-    routes_ok = loads.load_routes(routes).accepted
+    stops_ok = delays.materialize(loads.load_stops(dv.stops_feed(spark, d)).accepted)
+    routes_ok = delays.materialize(loads.load_routes(routes).accepted)
     return loads.load_route_variants(routes, stops_ok, routes_ok).accepted
 
 
@@ -574,13 +658,12 @@ def q_c5_route_variants_load(spark, d):
 SELECT * FROM variants WHERE stop_id IS NULL OR route_id IS NULL""")
 def q_f7_not_null_rejects(spark, d):
     routes = _routes_doc(spark, d)
-    stops_ok = loads.load_stops(dv.stops_feed(spark, d)).accepted
-    routes_ok = loads.load_routes(routes).accepted
+    stops_ok = delays.materialize(loads.load_stops(dv.stops_feed(spark, d)).accepted)
+    routes_ok = delays.materialize(loads.load_routes(routes).accepted)
     return loads.load_route_variants(routes, stops_ok, routes_ok).rejected
 
 
-_C6_SQL = f"""{_C3_CLEAN},
-stops_ok AS (SELECT {_C3_COLS} FROM ranked WHERE rn = 1),
+_C6_TT = f"""
 keys AS (
   SELECT DISTINCT Lines AS line, Route AS route, DayType AS day_type, Unit AS unit, substring(StopNo, 5) AS post,
          {od.hms_sql('dep_sec')} AS departure_time, "Order" AS "order"
@@ -592,21 +675,44 @@ tt AS (
          TIMESTAMP '2024-01-01 00:00:00' AS created_at
   FROM keys)"""
 
+_C6_SQL = f"""{_C3_CLEAN},
+stops_ok AS (SELECT {_C3_COLS} FROM ranked WHERE rn = 1),
+{_C6_TT}"""
+
 
 @register("c6_timetables_load", "C6 A2 J8 P14 W5",f"""WITH {_C6_SQL}
 SELECT * FROM tt WHERE stop_id IN (SELECT id FROM stops_ok)""")
 def q_c6_timetables_load(spark, d):
-    stops_ok = loads.load_stops(dv.stops_feed(spark, d)).accepted
+    stops_ok = delays.materialize(loads.load_stops(dv.stops_feed(spark, d)).accepted)
     return loads.load_timetables(_timetable_doc(spark, d), stops_ok).accepted
 
 
 @register("j8_fk_rejects", "J8", f"""WITH {_C6_SQL}
 SELECT * FROM tt WHERE stop_id IS NULL OR stop_id NOT IN (SELECT id FROM stops_ok WHERE id IS NOT NULL)""")
 def q_j8_fk_rejects(spark, d):
-    stops_ok = loads.load_stops(dv.stops_feed(spark, d)).accepted
+    stops_ok = delays.materialize(loads.load_stops(dv.stops_feed(spark, d)).accepted)
     return loads.load_timetables(_timetable_doc(spark, d), stops_ok).rejected
 
 
+@register("s7_reload_counts", "S7 C3 C4 C5 C6 A6 A7", f"""WITH {_C5_SQL}, {_C6_TT},
+found AS (
+  SELECT 'stops' AS name, (SELECT count(*) FROM clean) AS n, (SELECT count(*) FROM stops_ok) AS ok
+  UNION ALL SELECT 'routes', (SELECT count(*) FROM routes), (SELECT count(*) FROM routes_ok)
+  UNION ALL SELECT 'route_variants', (SELECT count(*) FROM variants),
+                   (SELECT count(*) FROM variants WHERE stop_id IS NOT NULL AND route_id IS NOT NULL)
+  UNION ALL SELECT 'timetables', (SELECT count(*) FROM tt), (SELECT count(*) FROM tt WHERE stop_id IN (SELECT id FROM stops_ok)))
+SELECT name, CAST(ok AS BIGINT) AS accepted, CAST(n - ok AS BIGINT) AS rejected FROM found""")
+def q_s7_reload_counts(spark, d):
+    """All tables loaded twice into one place, the second load replacing the first; the rows of its published tables counted."""
+    db = _scratch(spark, "db")
+    for _ in range(2):
+        jobs.reload_tables(dv.stops_feed(spark, d), _routes_doc(spark, d), _timetable_doc(spark, d), db, loads.DEFAULT_LOAD_TS)
+    each = [read_published(spark, f"{db}/{name}").agg(
+        F.lit(name).alias("name"), F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected"),
+    ) for name in jobs.TABLES]
+    return each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3])
+
+
 _C7_SQL = f"""
 p AS ({dv.PINGS_SQL}),
 trams AS (
@@ -622,23 +728,17 @@ def q_c7_trams_load(spark, d):
     return loads.trams_rows(dv.pings(spark, d)).select("id", "vehicle_nr", "brigade", "line_nr", "created_at")
 
 
-@register("t3_stream_state_load", "T1 T3 C7 S8 A3", f"""WITH {_C7_SQL}
-SELECT id, vehicle_nr, brigade, line_nr, created_at FROM trams""")
+@register("t3_stream_state_load", "T1 T3 C7 S8 A3", f"""
+SELECT CAST(row_number() OVER (ORDER BY hour(Time) // 6, Time, VehicleNumber, Lines, Brigade, Lon, Lat) AS BIGINT) AS id,
+       VehicleNumber AS vehicle_nr, Brigade AS brigade, Lines AS line_nr, TIMESTAMP '2024-01-01 00:00:00' AS created_at
+FROM ({dv.PINGS_SQL}) p""")
 def q_t3_stream_state_load(spark, d):
-    """The events table as a file stream loaded by the idempotent foreachBatch
-    state load; one file is one micro-batch, so ids start at 1."""
-    import uuid
-
-    from tramflow.session import ensure_checkpoint_dir
-    from tramflow.streaming import load_snapshots
-
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/t3-{uuid.uuid4().hex}"
-    events = spark.read.parquet(f"{d}/events.parquet")
-    stream = spark.readStream.schema(events.schema).parquet(f"{d}/event[s].parquet")
-    q = load_snapshots(dv.pings_from_events(stream), f"{base}/db", f"{base}/checkpoint")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    """Four deliveries through the idempotent state load: the ids of a batch go on after those of the one before."""
+    base = _scratch(spark, "t3")
+    spark.createDataFrame([], "json string").write.mode("append").text(f"{base}/in")
+    pings = ping_stream(spark, f"{base}/in", multi_line=False).drop("CurrTramTime", "DateText")
+    deliveries = tv.snapshot_parts(spark, d, _quarter_of_day(), PARTS)
+    _delivered(spark, base, deliveries, lambda: load_snapshots(pings, f"{base}/db", f"{base}/checkpoint"))
     return spark.read.parquet(f"{base}/db/trams").select("id", "vehicle_nr", "brigade", "line_nr", "created_at")
 
 
@@ -758,7 +858,7 @@ def q_s4_stops_records(spark, d):
     return readers.parse_stops(tv.stops_records(spark, d))
 
 
-@register("t2_flatten_pings", "T2 P5 E2", tv.SNAPSHOT_PINGS_SQL)
+@register("t2_flatten_pings", "P5 P17 E2", tv.SNAPSHOT_PINGS_SQL)
 def q_t2_flatten_pings(spark, d):
     return readers.flatten_pings(tv.snapshots(spark, d))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tramflow.functions.keys import stop_key
+from tramflow.functions.timeofday import hms_to_seconds
 from tramflow.operators.broadcast import broadcast_if_small
 from tramflow.operators.nested import unwind
 
@@ -36,8 +37,12 @@ def route_coordinates(stops_of_routes: DataFrame, view: DataFrame) -> DataFrame:
 
 
 def timetable_stops(timetable: DataFrame) -> DataFrame:
-    """Timetable collection under the names of the delay job, with the padded stop key."""
+    """Timetable collection under the names of the delay job, with the padded stop key.
+
+    A collection that has the departure as text alone gets its second of the service day from it.
+    """
+    seconds = F.col("dep_sec") if "dep_sec" in timetable.columns else hms_to_seconds("departure_time").alias("dep_sec")
     return timetable.select(
-        F.col("line").alias("Lines"), F.col("route").alias("Route"), stop_key("unit", "post").alias("StopNo"), "dep_sec",
+        F.col("line").alias("Lines"), F.col("route").alias("Route"), stop_key("unit", "post").alias("StopNo"), seconds,
         F.col("order").alias("Order"), F.col("day_type").alias("DayType"), F.col("unit").alias("Unit"),
     )
