@@ -36,6 +36,7 @@ VOCABULARY_B = "piece_bpe_32k.model"
 #: Text tokenised at once, and text of one block; a block asks for each of its pairs once.
 CHUNK_BYTES = 1 << 20
 BLOCK_BYTES = 8 << 20
+LATIN = 0x250
 MEASURES = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
@@ -79,7 +80,8 @@ class ByteLevel:
         """
         data, offsets = text_bytes(pa.array([" " + t if t else "" for t in texts], pa.large_string()))
         points, at = code_points(data)
-        rows = np.searchsorted(offsets, at[np.flatnonzero(unsettled()[points])], side="right") - 1
+        table = unsettled(LATIN if points.max(initial=0) < LATIN else sys.maxunicode + 1)
+        rows = np.searchsorted(offsets, at[np.flatnonzero(table[points])], side="right") - 1
         whole = np.zeros(len(texts), bool)
         whole[rows] = True
         begins = offsets[:-1][np.diff(offsets) > 0]
@@ -143,11 +145,11 @@ class Pieces:
         return [array("I", ids).tobytes() if len(u) > 1 else self.space for u, ids in zip(units, made, strict=True)]
 
 
-@lru_cache(maxsize=1)
-def unsettled() -> np.ndarray:
-    """True for code points that are unassigned, or were in Unicode 3.2 or had another category there."""
+@lru_cache(maxsize=2)
+def unsettled(n: int) -> np.ndarray:
+    """True for those of the first ``n`` code points that are unassigned, or were in Unicode 3.2 or had another category there."""
     old, now = unicodedata.ucd_3_2_0.category, unicodedata.category
-    return np.fromiter((now(chr(c)) == "Cn" or old(chr(c)) != now(chr(c)) for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+    return np.fromiter((now(c) == "Cn" or old(c) != now(c) for c in map(chr, range(n))), bool, n)
 
 
 @lru_cache(maxsize=2)
@@ -184,19 +186,28 @@ def spelled(ids: np.ndarray, offsets: np.ndarray, tokens: Tokens, wanted: np.nda
     return same
 
 
+def counted(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place."""
+    return np.cumsum(flags) - flags
+
+
 class Aligned:
     """Two tokenisations of the same rows of bytes, placed on one line: token ends, links and groups."""
 
     def __init__(self, a: np.ndarray, a_rows: np.ndarray, a_bytes: np.ndarray, b: np.ndarray, b_rows: np.ndarray, b_bytes: np.ndarray):
         self.a, self.b, self.a_rows, self.b_rows = a, b, a_rows, b_rows
-        self.a_ends, self.b_ends = np.cumsum(a_bytes), np.cumsum(b_bytes)
-        both = np.concatenate([self.a_ends, self.b_ends])
-        both.sort(kind="stable")  # two sorted runs
-        last = np.append(both[1:] != both[:-1], True)[: len(both)]
-        self.cuts, ends = both[~last], both[last]
-        self.link_a, self.link_b = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
-        row_ends = np.append(0, self.a_ends)[a_rows]
-        self.link_rows, self.group_rows = np.searchsorted(ends, row_ends, side="right"), np.searchsorted(self.cuts, row_ends, side="right")
+        a_ends = np.cumsum(a_bytes)
+        both = np.concatenate([a_ends, np.cumsum(b_bytes)])
+        order = np.argsort(both, kind="stable")  # two sorted runs; of equal ends A's is first
+        both, of_a = both[order], order < len(a)
+        twice = np.append(both[1:] == both[:-1], False)[: len(both)]  # A's end, with B's behind it
+        first = ~np.append(False, twice[:-1])[: len(both)]
+        self.cut = twice[first]  # at every distinct end: whether both sides end there
+        self.has_a, self.has_b = of_a[first], ~of_a[first] | self.cut
+        self.link_a, self.link_b = counted(self.has_a), counted(self.has_b)
+        row_ends = np.append(0, a_ends)[a_rows]
+        self.link_rows = np.searchsorted(both[first], row_ends, side="right")
+        self.group_rows = np.append(0, np.cumsum(self.cut))[self.link_rows]
 
     def pairs(self) -> np.ndarray:
         """Both ids of each link in one number."""
@@ -204,22 +215,36 @@ class Aligned:
 
     def written(self) -> tuple[np.ndarray, np.ndarray]:
         """The rows' groups in text, ``a1,a2|b1;a3|b2,b3``, one row after the other, and row offsets into them."""
-        a_group, b_group = np.searchsorted(self.cuts, self.a_ends), np.searchsorted(self.cuts, self.b_ends)
-        a_at = np.arange(len(self.a)) + np.searchsorted(b_group, a_group)
-        b_at = np.arange(len(self.b)) + np.searchsorted(a_group, b_group, side="right")
-        ids, after = np.empty(len(self.a) + len(self.b), np.int64), np.full(len(self.a) + len(self.b), ord(","), np.uint8)
+        group = counted(self.cut)
+        a_group, b_group = group[self.has_a], group[self.has_b]
+        # a group's A ids follow the B ids of all earlier groups, and its B ids its own and earlier A ids
+        a_at = np.arange(len(self.a)) + np.append(0, (self.link_b + 1)[self.cut])[a_group]
+        b_at = np.arange(len(self.b)) + (self.link_a + 1)[self.cut][b_group]
+        n = len(self.a) + len(self.b)
+        ids, after = np.empty(n, np.int64), np.full(n, ord(","), np.uint8)
         ids[a_at], ids[b_at] = self.a, self.b
-        after[a_at[np.append(a_group[1:] != a_group[:-1], True)]] = ord("|")
-        after[b_at[np.append(b_group[1:] != b_group[:-1], True)]] = ord(";")
-        digits = np.searchsorted(10 ** np.arange(1, 11), ids, side="right") + 1
-        sizes = digits + 1
-        stops = np.cumsum(sizes)
-        out = np.empty(int(stops[-1]) if len(stops) else 0, np.uint8)
-        out[stops - 1] = after
-        for k in range(int(digits.max()) if len(ids) else 0):
-            some = np.flatnonzero(digits > k)
-            out[stops[some] - 2 - k] = ord("0") + ids[some] // 10**k % 10
-        return out, np.append(0, stops)[self.a_rows + self.b_rows]
+        after[a_at[np.append(a_group[1:] != a_group[:-1], True)[: len(a_at)]]] = ord("|")
+        after[b_at[np.append(b_group[1:] != b_group[:-1], True)[: len(b_at)]]] = ord(";")
+        digits, used = decimals(int(ids.max(initial=0)))
+        wide = np.empty((n, digits.shape[1] + 1), np.uint8)
+        wide[:, :-1], wide[:, -1] = digits[ids], after
+        keep = used[ids]
+        stops = np.append(0, np.cumsum(keep.sum(axis=1)))
+        return wide[keep], stops[self.a_rows + self.b_rows]
+
+
+@lru_cache(maxsize=2)
+def _decimals(places: int) -> tuple[np.ndarray, np.ndarray]:
+    numbers = np.arange(10**places)
+    digits = numbers[:, None] // 10 ** np.arange(places - 1, -1, -1) % 10
+    used = numbers[:, None] >= 10 ** np.arange(places - 1, -1, -1)
+    used[:, -1] = True
+    return (digits + ord("0")).astype(np.uint8), np.append(used, np.ones((len(numbers), 1), bool), axis=1)
+
+
+def decimals(largest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Right-aligned decimal digits of all numbers of as many places as ``largest``, and which are written, with one place more for a mark."""
+    return _decimals(len(str(largest)))
 
 
 def tokenised(part: pa.RecordBatch, path_a: str, path_b: str) -> Aligned:
