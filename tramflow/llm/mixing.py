@@ -86,8 +86,8 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS) ->
     )
 
 
-def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: str = SEED) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` for every row of ``docs``.
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: str = SEED, row: str | None = None) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` for every row of ``docs``, and its column ``row`` if one is named.
 
     ``taken`` counts the words that the mix takes of a document, repeats included: whole
     epochs of its shard, and a part where the quota ends. A null text has no words and
@@ -98,7 +98,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, block_w
     ensure_checkpoint_dir(docs.sparkSession)
     place = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 12), 16, 10).cast("long")
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = docs.select("doc_id", "source", size.alias("size"), place.alias("place")).checkpoint()
+    also = [row] if row else []
+    sized = docs.select("doc_id", "source", size.alias("size"), place.alias("place"), *also).checkpoint()
 
     source = targets(sized, weights, epochs)
     blocks = F.floor(F.sum("source_size").over(Window.partitionBy("_one")) / block_words + 0.5)
@@ -106,7 +107,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, block_w
     source = source.select("source", "source_size", "target", F.col("quota").alias("source_quota"), F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words)).alias("shards"))
 
     same = F.col("d.source").eqNullSafe(F.col("s.source"))
-    sharded = sized.alias("d").join(source.alias("s"), same).select("d.doc_id", "d.source", "d.size", "d.place", "s.source_size", "s.target", "s.source_quota", (F.col("d.place") % F.col("s.shards")).alias("shard"))
+    sharded = sized.alias("d").join(source.alias("s"), same).select("d.doc_id", "d.source", "d.size", "d.place", "s.source_size", "s.target", "s.source_quota", (F.col("d.place") % F.col("s.shards")).alias("shard"), *[F.col(f"d.{c}") for c in also])
     shard = sharded.groupBy("source", "shard").agg(F.sum("size").cast("double").alias("votes"), F.first("source_quota").alias("source_quota"))
     shard = sainte_lague(shard, F.col("source_quota"), ["source"], [F.col("shard")])
     words = F.least(F.col("quota") * block_words, epochs * F.col("votes").cast("long"))
@@ -121,23 +122,36 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, block_w
         .join(shard.alias("q"), same)
         .withColumn("epochs", F.when(F.col("q.shard_size") > 0, F.floor(F.col("q.shard_words") / F.col("q.shard_size"))).otherwise(0))
         .withColumn("rest", F.col("q.shard_words") - F.col("epochs") * F.col("q.shard_size"))
-        .select("d.doc_id", "d.size", "d.source_size", "d.target", (F.col("epochs") * F.col("d.size") + part).cast("long").alias("taken"))
+        .select("d.doc_id", "d.size", "d.source_size", "d.target", (F.col("epochs") * F.col("d.size") + part).cast("long").alias("taken"), *[F.col(f"d.{c}") for c in also])
     )
 
 
-def apply_mix(docs: DataFrame, taken: DataFrame) -> DataFrame:
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mixed corpus of ``docs`` (see ``apply_mix``), whose ids may be null or repeated.
+
+    Rows are numbered once, and the numbered rows are checkpointed, so that each row gets its own quota and no other row's. The
+    columns of ``docs`` come back, whatever they are called; an empty table gives no rows.
+    """
+    ensure_checkpoint_dir(docs.sparkSession)
+    order = docs.columns
+    number = "_row" + "_" * max(map(len, order))  # longer than any column's name
+    rows = docs.withColumn(number, F.monotonically_increasing_id()).checkpoint()
+    return apply_mix(rows, mix(rows.select("doc_id", "source", "text", number), row=number), number).select(*order)
+
+
+def apply_mix(docs: DataFrame, taken: DataFrame, key: str = "doc_id") -> DataFrame:
     """The mixed corpus: each document as often as ``taken`` has it whole, then its first words if a part is left.
 
     A part is cut after its last word, so its text is a prefix of the document's. Documents
-    with no word taken go. ``doc_id`` must be unique in ``docs`` here; ``n_chars`` is counted anew.
+    with no word taken go. ``key``, a column of both, must be unique in ``docs`` here (see ``mixed``); ``n_chars`` is counted anew.
     """
-    take = taken.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    take = taken.where("taken > 0").select(F.col(key).alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     words = F.split(F.col("text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
     copies = F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int")))
     rest = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
     text = F.when(rest >= F.col("_size"), F.col("text")).otherwise(F.concat_ws("", F.slice(words, F.lit(1), rest.cast("int"))))
     return (
-        docs.join(take, F.col("doc_id").eqNullSafe(F.col("_id")))
+        docs.join(take, F.col(key).eqNullSafe(F.col("_id")))
         .withColumn("_copy", copies)
         .withColumn("text", text)
         .withColumn("n_chars", F.char_length("text").cast("long"))

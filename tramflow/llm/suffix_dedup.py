@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tramflow.llm.common import byte_table, chunks, mix64, text_bytes
 from tramflow.llm.probminhash import node_of
@@ -384,18 +385,23 @@ def removals(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the repeated bytes taken out of their texts, and ``n_chars`` counted anew.
 
-    Where a cut falls inside a character, the rest of that character goes too.
+    Where a cut falls inside a character, the rest of that character goes too. Columns of any names come
+    back; a null text counts as empty; an empty table gives no rows.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     order = docs.columns
-    rows = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("node", node_of(F.col("text")))
-    ranges = repeated_ranges(rows.select("doc_id", "text", "node"))
+    inner = [f"c{at}" for at in range(len(order))]  # no name of the caller's meets one of ours
+    doc_id, text = (inner[order.index(c)] for c in ("doc_id", "text"))
+    rows = docs.toDF(*inner).withColumn(text, F.coalesce(text, F.lit(""))).withColumnRenamed(text, "text").withColumn("node", node_of(F.col("text")))
+    ranges = repeated_ranges(rows.select(F.col(doc_id).alias("doc_id"), "text", "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                texts = [raw[keep].tobytes().decode("utf-8", errors="ignore") for raw, keep in kept_bytes(part)]
-                yield part.set_column(part.schema.names.index("text"), "text", pa.array(texts, pa.string())).select(order)
+                texts = pa.array([raw[keep].tobytes().decode("utf-8", errors="ignore") for raw, keep in kept_bytes(part)], pa.string())
+                yield pa.RecordBatch.from_arrays([texts if c == text else part.column(c) for c in inner], inner)
 
-    out = rows.join(ranges, "node", "left").select(*order, "ranges").mapInArrow(run, docs.schema)
+    given = [c if c != text else "text" for c in inner]
+    schema = StructType([StructField(c, field.dataType) for c, field in zip(inner, docs.schema, strict=True)])
+    out = rows.join(ranges, "node", "left").select(*given, "ranges").mapInArrow(run, schema).toDF(*order)
     return out.withColumn("n_chars", F.char_length("text").cast("long")).select(*order)
