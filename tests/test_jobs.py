@@ -181,3 +181,11 @@ def test_cell_candidates_hold_the_nearest(spark, spread):
     want = p.join(s.filter("sx IS NOT NULL"), F.col("l") == F.col("line")).filter("x IS NOT NULL").groupBy("id").agg(best)
     assert {tuple(r) for r in got.groupBy("id").agg(best).collect()} == {tuple(r) for r in want.collect()}
     assert index.cells.count() > 0
+
+
+def test_stops_without_minutes_follow_their_place(spark):
+    rows = [("1", "TP", nr, nr.upper(), 0, at) for at, nr in enumerate(["c", "a", "b"])]
+    on_route = spark.createDataFrame(rows, "line_nr string, route_nr string, stop_nr string, StopName string, min_time int, pos int")
+    before = {r.stop_nr: r.PrevCorrected for r in delays.routes_order(on_route).collect()}
+    assert before == {"c": None, "a": "C", "b": "A"}
+    assert {r.stop_nr: r.PrevCorrected for r in delays.routes_order(on_route.drop("pos")).collect()} == {"a": None, "b": "A", "c": "B"}

@@ -168,13 +168,18 @@ def previous_stops(results: DataFrame, split_seconds: int | None = 3600) -> Data
 
 
 def routes_order(route_stops: DataFrame, chunk: int | None = 256) -> DataFrame:
-    """Previous distinct stop along each route (W6 over line and route)."""
-    base = route_stops.select("line_nr", "route_nr", "stop_nr", "StopName", "min_time")
+    """Previous distinct stop along each route (W6 over line and route).
+
+    Stops follow each other by their minute and, where minutes are equal (blank ones are 0), by
+    their place ``pos`` on the route if the input has it, else by their number.
+    """
+    place = ["pos"] if "pos" in route_stops.columns else []
+    base = route_stops.select("line_nr", "route_nr", "stop_nr", "StopName", "min_time", *place)
     return previous_distinct(
-        base, "StopName", ["line_nr", "route_nr"], ["min_time", "stop_nr"],
+        base, "StopName", ["line_nr", "route_nr"], ["min_time", *place, "stop_nr"],
         out="PrevCorrected",
         split_by=F.floor(F.col("min_time") / F.lit(chunk)) if chunk else None,
-    ).distinct()
+    ).drop(*place).distinct()
 
 
 def direction(
