@@ -28,7 +28,7 @@ class Memo:
         pieces = [raw[s:e] for s, e in zip(starts[first].tolist(), (starts[first] + lengths[first]).tolist(), strict=True)]
         new = [p for p in pieces if p not in self.known]
         if len(self.known) + len(new) > ENTRIES:
-            self.known, new = {}, pieces
+            self.known = {p: self.known[p] for p in pieces if p in self.known}  # what is in use stays
         if new:
             self.known.update(zip(new, self.encode(new), strict=True))
         found = list(map(self.known.__getitem__, pieces))

@@ -18,8 +18,10 @@ import uuid
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
@@ -142,7 +144,9 @@ class Pieces:
 
     def _units(self, units: list[bytes]) -> list[bytes]:
         made = self.processor.encode([u[1:].decode() for u in units], num_threads=1)
-        return [array("I", ids).tobytes() if len(u) > 1 else self.space for u, ids in zip(units, made, strict=True)]
+        raw = array("I", chain.from_iterable(made)).tobytes()
+        stops = list(accumulate(4 * len(ids) for ids in made))
+        return [raw[a:b] if len(u) > 1 else self.space for u, a, b in zip(units, [0, *stops[:-1]], stops, strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -294,7 +298,7 @@ def tokenise_distinct(docs: DataFrame, path_a: str, path_b: str, block_bytes: in
             yield from rows_of(block, held)
 
     def rows_of(block: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        pairs, at = np.unique(np.concatenate([h[4] for h in held]), return_inverse=True)
+        at, pairs = pd.factorize(np.concatenate([h[4] for h in held]))
         weights, at = np.zeros(len(pairs), np.int64), at.astype("<u4")
         done = 0
         for key, n, own, hashes, links, rows in held:
