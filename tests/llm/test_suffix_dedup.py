@@ -4,23 +4,25 @@ import hashlib
 import random
 from collections import Counter
 
+import pytest
+
 from tramflow.llm import suffix_dedup
 
 SHAPE = "doc_id long, text string, hash string, node string"
 
 
-def brute(texts):
+def brute(texts, length=400):
     raw = [(t or "").encode() for t in texts]
-    seen = Counter(r[k : k + 400] for r in raw for k in range(len(r) - 399))
+    seen = Counter(r[k : k + length] for r in raw for k in range(len(r) - length + 1))
     out = []
     for r in raw:
         gone = [False] * len(r)
-        for k in range(len(r) - 399):
-            if seen[r[k : k + 400]] > 1:
-                gone[k : k + 400] = [True] * 400
+        for k in range(len(r) - length + 1):
+            if seen[r[k : k + length]] > 1:
+                gone[k : k + length] = [True] * length
         kept = bytes(b for b, g in zip(r, gone, strict=True) if not g)
         spans = sum(g and (not k or not gone[k - 1]) for k, g in enumerate(gone))
-        out.append((len(r), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((len(r), sum(gone), spans, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")))
     return out
 
 
@@ -37,7 +39,7 @@ def cases():
 
 def run(spark, texts, **settings):
     rows = [(k, t, "clash", "clash") for k, t in enumerate(texts)]
-    out = suffix_dedup.removals(spark.createDataFrame(rows, SHAPE)).collect()
+    out = suffix_dedup.removals(spark.createDataFrame(rows, SHAPE), **settings).collect()
     assert len(out) == len(texts)
     return [tuple(r)[1:] for r in sorted(out, key=lambda r: r.doc_id)]
 
@@ -55,3 +57,19 @@ def test_groups_too_large_for_a_task(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert suffix_dedup.removals(spark.createDataFrame([], SHAPE)).count() == 0
+
+
+def test_shorter_strings(spark):
+    rng = random.Random(9)
+    shared = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (199, 200, 201, 260, 399)]
+    prose = lambda n: "".join(rng.choice("klmnopqr é") for _ in range(n))
+    texts = cases() + [prose(50 * k) + s + prose(90) for s in shared for k in (1, 7)]
+    texts += ["abc" * n for n in range(60, 80)] + [prose(20) + "xyz" * 150, prose(9) + "yzx" * 67 + prose(9)]
+    assert run(spark, texts, length=200) == brute(texts, 200)
+    kept = suffix_dedup.without_repeats(spark.createDataFrame([(k, t, None, None) for k, t in enumerate(texts)], SHAPE), 200).collect()
+    assert [r.text for r in sorted(kept, key=lambda r: r.doc_id)] == [b[4] for b in brute(texts, 200)]
+
+
+def test_strings_too_short_for_anchors(spark):
+    with pytest.raises(ValueError):
+        suffix_dedup.removals(spark.createDataFrame([], SHAPE), 100)
