@@ -12,6 +12,10 @@ from tramflow.llm import byte_bpe, mixing, probminhash, quality_mil, suffix_dedu
 from tramflow.llm.common import labels
 from tramflow.session import ensure_checkpoint_dir
 
+#: Length of the strings that the suffix stage removes: less than 50 words of prose take, so a shared passage
+#: of 50 words goes whatever its words are, and a shared line of some thirty words stays.
+REPEATED_BYTES = 200
+
 #: The stages judge texts by models, signatures and byte strings, which SQL cannot express.
 ORACLE_SQL = None
 
@@ -27,8 +31,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of repeated 400-byte strings."""
-    return suffix_dedup.without_repeats(docs)
+    """Texts without the bytes of repeated strings of ``REPEATED_BYTES``."""
+    return suffix_dedup.without_repeats(docs, REPEATED_BYTES)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
