@@ -118,9 +118,8 @@ def line_sections(lines: DataFrame) -> DataFrame:
     latest = heads.groupBy("line_nr").agg(
         F.max(F.struct("_file", "_block", "_rec")).getField("_rec").alias("_rec")
     )
-    return in_section.join(latest, "_rec", "left_semi").join(heads.select("_rec", "line_nr"), "_rec").select(
-        "_rec", "pos", "line", "line_nr"
-    )
+    # numbers have two digits at most, so there are few latest sections; each knows its own number
+    return in_section.join(F.broadcast(latest), "_rec", "left_semi").select("_rec", "pos", "line", F.col("_start_nr").alias("line_nr"))
 
 
 # ------------------------------------------------------------------ X2/X3
@@ -316,8 +315,10 @@ def routes_documents(stops: DataFrame, headers: DataFrame) -> DataFrame:
         stops, ["_rec", "route_pos"], ["stop_nr", "stop_name", "street", "r_flag", "min_time", "max_time"], ["pos"], "stops"
     )
     empty = F.array().cast(stop_arrays.schema["stops"].dataType)
-    routes = headers.join(stop_arrays, ["_rec", "route_pos"], "left").withColumn(
-        "stops", F.coalesce(F.col("stops"), empty)
+    # joined by section on a map of its routes' arrays: both sides keep the partitioning by section
+    by_route = stop_arrays.groupBy("_rec").agg(F.map_from_entries(F.collect_list(F.struct("route_pos", "stops"))).alias("_stops"))
+    routes = headers.join(by_route, "_rec", "left").withColumn(
+        "stops", F.coalesce(F.try_element_at("_stops", F.col("route_pos")), empty)
     )
     lines = assemble(
         routes, ["_rec", "line_nr", "number_of_routes"], ["route_nr", "number_of_stops", "stops"], ["route_pos"], "routes"
