@@ -139,8 +139,7 @@ def departures(sections: DataFrame) -> DataFrame:
     is_rp = line.contains(STOP_MARKERS[0]) | line.contains(STOP_MARKERS[1])
     is_od = line.contains(DEPARTURES_MARKER)
     d = (
-        sections.withColumn("_toks", toks)
-        .withColumn("_is_od", is_od)
+        sections.withColumn("_is_od", is_od)
         .withColumn("_stop_line", F.coalesce(F.lag(is_rp).over(w), F.lit(False)))
         .withColumn("_cur_line", F.last(F.when(line.contains(LINE_MARKER), _tok(toks, 2)), ignorenulls=True).over(wr))
         .withColumn("_cur_stop", F.last(F.when(F.col("_stop_line"), _tok(toks, 1)), ignorenulls=True).over(wr))
@@ -148,7 +147,8 @@ def departures(sections: DataFrame) -> DataFrame:
         .withColumn("_od", F.last(F.when(is_od, F.struct("pos", _tok(toks, 2).try_cast("int").alias("n"))), ignorenulls=True).over(wr))
     )
     k = F.col("pos") - F.col("_od.pos")
-    deps = d.filter(~F.col("_is_od") & ~F.col("_stop_line") & (k >= 1) & (k <= F.col("_od.n")))
+    # only departure lines are split into all their tokens, after the windows
+    deps = d.filter(~F.col("_is_od") & ~F.col("_stop_line") & (k >= 1) & (k <= F.col("_od.n"))).withColumn("_toks", toks)
     hour_text = _tok(F.col("_toks"), 1)
     tag = F.split(_tok(F.col("_toks"), 2), "/")
     dep_sec = departure_seconds(hour_text)
@@ -205,7 +205,7 @@ def _route_marks(lines: DataFrame) -> DataFrame:
         .withColumn("_is_lw", is_lw)
         .withColumn("_head_nr", F.last(F.when(is_head, _tok(toks, 2)), ignorenulls=True).over(wr))
         .withColumn("_n_routes", F.last(F.when(line.contains(ROUTES_MARKER), _tok(toks, 2).try_cast("int")), ignorenulls=True).over(wr))
-        .withColumn("_prev_first", F.lag(_tok(toks, 1)).over(w))
+        .withColumn("_prev_first", F.lag(_tok(F.col("_toks"), 1)).over(w))
         .withColumn("_lw", F.last(F.when(is_lw, F.struct("pos", _tok(toks, 2).try_cast("int").alias("n"), "_prev_first")), ignorenulls=True).over(wr))
     )
     ok_line = F.col("_head_nr").isNotNull() & ~F.col("_head_nr").isin(*EXCLUDED_LINES)
@@ -268,15 +268,18 @@ def tokenize_stops(stop_lines: DataFrame) -> DataFrame:
     )
     # tokens joined by single spaces: the first all-digit token and the whole
     # tokens before it (each followed by its space) come from two expressions
-    joined = F.array_join(data, " ")
+    # columns of their own, so that what refers to them several times does not compute them again
+    d = d.withColumn("_joined", F.array_join(data, " "))
+    joined = F.col("_joined")
     first_number = F.regexp_extract(joined, r"(?:^| )([0-9]+)(?= |$)", 1)
     before_number = F.regexp_extract(joined, r"^((?:[^ ]+ )*?)[0-9]+(?: |$)", 1)
-    has_number = first_number != ""
+    has_number = F.col("_number") != ""
     starts_digit = joined.rlike(r"^[0-9]+( |$)")
     own_street = F.when(~starts_digit, F.when(has_number, before_number).otherwise(F.concat(joined, F.lit(" "))))
     w = Window.partitionBy("_rec", "route_pos").orderBy("pos").rowsBetween(*_ROWS)
     d = (
-        d.withColumn("stop_nr", F.when(has_number, first_number))
+        d.withColumn("_number", first_number)
+        .withColumn("stop_nr", F.when(has_number, F.col("_number")))
         .withColumn("_own_street", own_street)
         .withColumn("_street_raw", F.coalesce(F.last("_own_street", ignorenulls=True).over(w), F.lit("")))
     )
@@ -284,11 +287,13 @@ def tokenize_stops(stop_lines: DataFrame) -> DataFrame:
     search = F.when(F.col("_own_street").isNotNull(), F.col("_own_street")).otherwise(
         F.regexp_replace(F.col("_street_raw"), ",", "")
     )
-    text = F.array_join(F.col("_data"), " ")
-    text = _remove_first(text, search)
+    d = d.withColumn("_search", search).withColumn("_text", _remove_first(joined, F.col("_search")))
+    text = F.col("_text")
     text = F.when(F.col("stop_nr").isNotNull(), F.replace(text, F.col("stop_nr"), F.lit(""))).otherwise(text)
-    text = F.replace(F.trim(text), F.lit("--"), F.lit(","))
-    fields = F.split(text, r"\|")
+    d = d.withColumn("_plain", F.replace(F.trim(text), F.lit("--"), F.lit(",")))
+    text = F.col("_plain")
+    d = d.withColumn("_fields", F.split(text, r"\|"))
+    fields = F.col("_fields")
 
     def minutes(i: int) -> Column:
         v = F.ltrim(F.try_element_at(fields, F.lit(i + 1)))
