@@ -4,9 +4,10 @@ A word's embedding joins three hashed tables: two hashes of the whole word, so t
 word seldom meets a toxic one in both, and one of its first bytes. Filters of several widths
 slide over the words; the strongest response of each in the document is pooled and scored.
 
-Training uses a bounded sample (``PER_CLASS`` rows of each label, ``MAX_CHARS`` code points at
-most), hashed by the executors. A fifth of it calibrates: the score's scale, so that 0.7 is
-the best cut over all, and one more threshold for each language.
+Training reads every labelled row outside the held-out fold, whole. The rows are dealt over shards; in
+each epoch every shard goes on from the common weights and Spark averages what the shards change. A
+fifth of the rows calibrates, by counts of their logits: the score's scale, so that 0.7 is the best
+cut over all, and one more threshold for each language.
 """
 
 from __future__ import annotations
@@ -18,10 +19,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramflow.llm.common import chunks, held_out, span_hashes, text_bytes, training_rows
+from tramflow.llm.common import chunks, held_out, span_hashes, text_bytes
+from tramflow.session import ensure_checkpoint_dir
 
-PER_CLASS = 2000
-MAX_CHARS = 4_000
+#: Labelled rows of a shard, and shards at most: a shard's change of the weights is as large as the weights.
+SHARD_ROWS, SHARDS = 4_000, 256
+#: Logits are counted in steps of one part in this many.
+STEPS = 64
 BITS, DIM, FILTERS, WIDTHS = 17, 8, 12, (1, 2, 3)
 PREFIX_BYTES = 4
 EPOCHS, BATCH = 6, 32
@@ -107,112 +111,198 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(keys, ends).astype(np.float64) + self.shift, -30, 30)))
 
 
-def fit(keys: np.ndarray, ends: np.ndarray, label: np.ndarray, seed: int = 6) -> Model:
-    """Adagrad; the gradient flows through each filter's strongest window alone."""
-    rng = np.random.default_rng(seed)
-    model = Model(rng)
-    width, gap, n_top = 3 * DIM, WIDTHS[-1] - 1, FILTERS * len(WIDTHS)
-    sums = {id(p): np.full(p.shape, 1e-3, np.float32) for p in (*model.tables, *model.filters, *model.bias, model.top, model.offset)}
+def strongest(model: Model, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each filter's strongest response in a text and its place."""
+    best, place = np.full(len(model.top), -np.inf, np.float32), np.zeros(len(model.top), np.int64)
+    gap = WIDTHS[-1] - 1
+    for at in range(0, max(len(keys), 1), BLOCK):
+        n = max(min(BLOCK, len(keys) - at), 1)
+        x = model.embed(keys[at : at + BLOCK + gap])
+        x = x if len(x) >= n + gap else np.zeros((n + gap, x.shape[1]), np.float32)
+        y = np.concatenate(model.responses(x, n), axis=1)
+        top = y.argmax(axis=0)
+        value = y[top, np.arange(len(best))]
+        place = np.where(value > best, at + top, place)
+        best = np.maximum(best, value)
+    return best, place
 
-    def move(p: np.ndarray, g: np.ndarray, rate: float, rows=slice(None)) -> None:
-        s = sums[id(p)]
+
+class Trainer:
+    """Adagrad; the gradient flows through each filter's strongest window alone.
+
+    ``changed`` are the rows of ``flat`` that differ from the start, which the seed gives again.
+    """
+
+    def __init__(self, changed: tuple[np.ndarray, np.ndarray] | None = None, seed: int = 6):
+        self.model = Model(np.random.default_rng(seed))
+        self.sums = [np.full(p.shape, 1e-3, np.float32) for p in self.parts()]
+        if changed is not None:
+            self.add(*changed)
+
+    def parts(self) -> list[np.ndarray]:
+        m = self.model
+        return [*m.tables, *m.filters, *m.bias, m.top, m.offset]
+
+    def move(self, part: int, g: np.ndarray, rate: float, rows=slice(None)) -> None:
+        p, s = self.parts()[part], self.sums[part]
         s[rows] += g * g
         p[rows] -= rate * g / np.sqrt(s[rows])
 
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(label))
-        for at in range(0, len(order), BATCH):
-            rows = order[at : at + BATCH]
-            words, where, pooled, views = [], np.zeros((len(rows), n_top), np.int64), np.zeros((len(rows), n_top), np.float32), []
-            base = 0
-            for i, r in enumerate(rows):
-                k = keys[ends[r] : ends[r + 1]]
-                x = model.embed(k)
-                n = max(len(k), 1)
-                x = np.concatenate([x, np.zeros((1, width), np.float32)]) if not len(k) else x
-                for w, y in enumerate(model.responses(x, n)):
-                    best = y.argmax(axis=0)
-                    where[i, w * FILTERS : (w + 1) * FILTERS] = base + best
-                    pooled[i, w * FILTERS : (w + 1) * FILTERS] = y[best, np.arange(FILTERS)]
-                words.append(k)
-                words.append(np.full((len(x) - len(k), 3), -1, np.int32))
-                views.append(x)
-                base += len(x)
-            x, k = np.concatenate([*views, np.zeros((gap, width), np.float32)]), np.concatenate([*words, np.full((gap, 3), -1, np.int32)])
-            active = np.maximum(pooled, 0)
-            p = 1 / (1 + np.exp(-np.clip(active @ model.top + model.offset[0], -30, 30)))
-            wrong = ((p - label[rows]) / len(rows)).astype(np.float32)
-            back = wrong[:, None] * model.top * (pooled > 0)
-            dx = np.zeros_like(x)
-            for w, size in enumerate(WIDTHS):
-                f = slice(w * FILTERS, (w + 1) * FILTERS)
-                at_words = where[:, f, None] + np.arange(size)
-                window = x[at_words].reshape(len(rows), FILTERS, size * width)
-                g = back[:, f]
-                np.add.at(dx, at_words, (g[:, :, None] * model.filters[w].T[None]).reshape(len(rows), FILTERS, size, width))
-                move(model.filters[w], np.einsum("df,dfk->kf", g, window) + 1e-5 * model.filters[w], 0.05)
-                move(model.bias[w], g.sum(axis=0), 0.05)
-            move(model.top, active.T @ wrong, 0.05)
-            move(model.offset, wrong.sum(keepdims=True), 0.05)
-            hit = np.flatnonzero((dx != 0).any(axis=1) & (k[:, 0] >= 0))
-            for t, table in enumerate(model.tables):
-                index, code = np.unique(k[hit, t], return_inverse=True)
-                g = np.zeros((len(index), DIM), np.float32)
-                np.add.at(g, code, dx[hit, t * DIM : (t + 1) * DIM])
-                move(table, g, 0.1, index)
-    return model
-
+    def step(self, bags: list[np.ndarray], label: np.ndarray) -> None:
+        model, width, n = self.model, 3 * DIM, len(bags)
+        both = [strongest(model, k) for k in bags]
+        pooled, where = (np.stack([b[k] for b in both]) for k in (0, 1))
+        active = np.maximum(pooled, 0)
+        p = 1 / (1 + np.exp(-np.clip(active @ model.top + model.offset[0], -30, 30)))
+        wrong = ((p - label) / n).astype(np.float32)
+        back = wrong[:, None] * model.top * (pooled > 0)
+        behind = np.full((WIDTHS[-1], 3), -1, np.int32)
+        bags = [np.concatenate([k, behind]) for k in bags]
+        words, slopes = [], []
+        for w, size in enumerate(WIDTHS):
+            f = slice(w * FILTERS, (w + 1) * FILTERS)
+            seen = np.stack([k[at[f, None] + np.arange(size)] for k, at in zip(bags, where, strict=True)])
+            x = np.concatenate([np.where(seen[..., t, None] >= 0, table[seen[..., t]], 0) for t, table in enumerate(model.tables)], axis=-1)
+            g = back[:, f]
+            words.append(seen.reshape(-1, 3))
+            slopes.append((g[:, :, None] * model.filters[w].T[None]).reshape(-1, width))
+            self.move(3 + w, np.einsum("df,dfk->kf", g, x.reshape(n, FILTERS, size * width)) + 1e-5 * model.filters[w], 0.05)
+            self.move(3 + len(WIDTHS) + w, g.sum(axis=0), 0.05)
+        self.move(3 + 2 * len(WIDTHS), active.T @ wrong, 0.05)
+        self.move(4 + 2 * len(WIDTHS), wrong.sum(keepdims=True), 0.05)
+        keys, dx = np.concatenate(words), np.concatenate(slopes)
+        hit = np.flatnonzero((keys[:, 0] >= 0) & (dx != 0).any(axis=1))
+        for t in range(3):
+            index, code = np.unique(keys[hit, t], return_inverse=True)
+            g = np.zeros((len(index), DIM), np.float32)
+            np.add.at(g, code, dx[hit, t * DIM : (t + 1) * DIM])
+            self.move(t, g, 0.1, index)
+
+    def flat(self) -> np.ndarray:
+        """Weights and their sums of squares, ``DIM`` of each a row."""
+        lay = lambda parts: np.concatenate([np.pad(p.ravel(), (0, -p.size % DIM)) for p in parts]).reshape(-1, DIM)
+        return np.concatenate([lay(self.parts()), lay(self.sums)], axis=1)
+
+    def add(self, slot: np.ndarray, change: np.ndarray) -> None:
+        """``change`` to the rows ``slot`` of ``flat``."""
+        rows = self.flat()
+        rows[slot] += change
+        for values, parts in ((rows[:, :DIM].ravel(), self.parts()), (rows[:, DIM:].ravel(), self.sums)):
+            at = 0
+            for p in parts:
+                p[...] = values[at : at + p.size].reshape(p.shape)
+                at += p.size + -p.size % DIM
+
+
+CHANGES = [f"v{k}" for k in range(2 * DIM)]
+
+
+def difference(trainer: Trainer, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    change = trainer.flat() - before
+    slot = np.flatnonzero((change != 0).any(axis=1))
+    return slot, change[slot]
+
+
+def epoch(rows: DataFrame, trainer: Trainer) -> None:
+    """One pass over ``rows``, each partition a shard; a row of weights moves by the mean of the shards that changed it."""
+    shared = rows.sparkSession.sparkContext.broadcast(difference(trainer, Trainer().flat()))
 
-def best_cut(logit: np.ndarray, label: np.ndarray, negative: float) -> float:
-    """The cut of least error when each clean row stands for ``negative`` rows; the middle of the widest best gap."""
-    order = np.argsort(logit, kind="stable")
-    x, y = logit[order], label[order]
-    missed = np.append(0, np.cumsum(y == 1))
-    false = negative * np.append(np.cumsum((y == 0)[::-1])[::-1], 0)
-    edges = np.concatenate([[x[0] - 1], x, [x[-1] + 1]])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trainer = Trainer(shared.value)
+        before = trainer.flat()
+        for batch in batches:
+            for part in chunks(batch, "bag"):
+                bags = [np.frombuffer(b.as_buffer(), np.int32).reshape(-1, 3) for b in part.column("bag")]
+                label = np.asarray(part.column("label"), np.float32)
+                for at in range(0, len(bags), BATCH):
+                    trainer.step(bags[at : at + BATCH], label[at : at + BATCH])
+        slot, change = difference(trainer, before)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), *(pa.array(c) for c in change.T)], ["slot", *CHANGES])
+
+    moved = rows.mapInArrow(run, ", ".join(["slot long", *(f"{c} float" for c in CHANGES)]))
+    mean = moved.groupBy("slot").agg(*(F.avg(c).cast("float").alias(c) for c in CHANGES)).toArrow()
+    shared.destroy()
+    trainer.add(np.asarray(mean.column("slot")), np.stack([np.asarray(mean.column(c)) for c in CHANGES], axis=1))
+
+
+def best_cut(logit: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The cut of least error between ascending logits with these counts of rows; the middle of the widest best gap."""
+    missed = np.append(0, np.cumsum(toxic))
+    false = np.append(np.cumsum(clean[::-1])[::-1], 0)
+    edges = np.concatenate([[logit[0] - 1], logit, [logit[-1] + 1]])
     cost = missed + false
     best = np.flatnonzero(cost == cost.min())
     wide = best[np.argmax(edges[best + 1] - edges[best])]
     return float((edges[wide] + edges[wide + 1]) / 2)
 
 
-def train(docs: DataFrame, marks: DataFrame, per_class: int = PER_CLASS, max_chars: int = MAX_CHARS, least: int = 40) -> Model | None:
-    """A calibrated model, or None where the labels have not both classes.
+def training_bags(docs: DataFrame, marks: DataFrame, shard_rows: int) -> DataFrame:
+    """``lang, label, fold, bag`` of every row with a label outside the held-out fold, dealt over shards in mixed order and written.
 
-    A language with under ``least`` calibration rows, or one class alone, has the threshold of all.
+    Null labels are left out; of repeated labels of one id the largest holds.
     """
-    sample = training_rows(docs, marks, "toxic", per_class, max_chars).select(F.col("doc_id").cast("string").alias("id"), "text", F.coalesce("lang", F.lit("")).alias("lang"), "label")
+    ensure_checkpoint_dir(docs.sparkSession)
+    known = marks.where(F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
+    shards = min(max(-(-known.count() // shard_rows), 1), SHARDS)
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
+    rows = texts.where(~held_out()).join(known, "doc_id")
+    mixed = F.xxhash64("doc_id", "text")
+    rows = rows.withColumn("mixed", mixed).withColumn("fold", F.pmod(F.xxhash64("mixed", F.lit(66)), F.lit(5)) == 0)
+    rows = rows.repartition(shards, "mixed").sortWithinPartitions("mixed").select("text", "lang", "label", "fold")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
                 keys, ends = word_keys(part.column("text"))
                 bags = [keys[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("lang"), part.column("label"), pa.array(bags, pa.binary())], ["id", "lang", "label", "bag"])
+                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("label"), part.column("fold"), pa.array(bags, pa.binary())], ["lang", "label", "fold", "bag"])
+
+    return rows.mapInArrow(run, "lang string, label int, fold boolean, bag binary").checkpoint()
+
 
-    rows = sorted((r.id, r.lang, r.label, bytes(r.bag)) for r in sample.mapInArrow(run, "id string, lang string, label int, bag binary").collect())
-    label = np.array([r[2] for r in rows], np.float32)
-    if len(np.unique(label)) < 2:
+def train(docs: DataFrame, marks: DataFrame, least: int = 40, shard_rows: int = SHARD_ROWS) -> Model | None:
+    """A calibrated model of every labelled row, or None where the labels have not both classes.
+
+    A language with under ``least`` calibration rows, or one class alone, has the threshold of all.
+    """
+    rows = training_bags(docs, marks, shard_rows)
+    counts = {(r.fold, r.label): r["count"] for r in rows.groupBy("fold", "label").count().collect()}
+    if len({label for _, label in counts}) < 2:
         return None
-    bags = [np.frombuffer(r[3], np.int32).reshape(-1, 3) for r in rows]
-    fold = np.random.default_rng(66).random(len(rows)) < 0.2
-
-    def laid(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        some = [bags[i] for i in np.flatnonzero(which)]
-        return np.concatenate([*some, np.zeros((0, 3), np.int32)]), np.append(0, np.cumsum([len(b) for b in some])).astype(np.int64)
-
-    model = fit(*laid(~fold), label[~fold])
-    if not fold.any() or len(np.unique(label[fold])) < 2:
-        fold[:] = True
-    shares = marks.where(~held_out()).agg(F.count_if(F.col("toxic") == 0), F.count_if(F.col("toxic") == 1)).first()
-    negative = max(1.0, shares[0] / max(shares[1], 1) * label.sum() / max((label == 0).sum(), 1))
-    logit, y = model.logits(*laid(fold)).astype(np.float64), label[fold]
-    model.shift = float(np.log(CUT / (1 - CUT)) - best_cut(logit, y, negative))
-    lang = np.array([r[1] for r in rows])[fold]
-    for name in np.unique(lang):
-        own = lang == name
-        if own.sum() >= least and len(np.unique(y[own])) == 2:
-            model.thresholds[str(name)] = float(1 / (1 + np.exp(-(best_cut(logit[own], y[own], negative) + model.shift))))
+    trainer = Trainer()
+    apart = all((fold, label) in counts for fold in (False, True) for label in (0, 1))
+    for _ in range(EPOCHS):
+        epoch(rows.where(~F.col("fold")) if apart else rows, trainer)
+    model = trainer.model
+    shared = rows.sparkSession.sparkContext.broadcast(difference(trainer, Trainer().flat()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Trainer(shared.value).model
+        for batch in batches:
+            for part in chunks(batch, "bag"):
+                bags = [np.frombuffer(b.as_buffer(), np.int32).reshape(-1, 3) for b in part.column("bag")]
+                ends = np.append(0, np.cumsum([len(b) for b in bags])).astype(np.int64)
+                step = np.round(np.clip(model.logits(np.concatenate(bags), ends), -30, 30) * STEPS).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("label"), pa.array(step)], ["lang", "label", "step"])
+
+    judged = (rows.where("fold") if apart else rows).mapInArrow(run, "lang string, label int, step int")
+    table = judged.groupBy("lang", "step").agg(F.count_if(F.col("label") == 1).alias("toxic"), F.count_if(F.col("label") == 0).alias("clean")).collect()
+    shared.destroy()
+
+    def cut(some: list) -> float:
+        steps = sorted({r.step for r in some})
+        sums = np.zeros((2, len(steps)), np.int64)
+        np.add.at(sums, (slice(None), np.searchsorted(steps, [r.step for r in some])), np.array([[r.toxic for r in some], [r.clean for r in some]]))
+        return best_cut(np.array(steps) / STEPS, *sums)
+
+    model.shift = float(np.log(CUT / (1 - CUT)) - cut(table))
+    by_lang: dict[str, list] = {}
+    for r in table:
+        by_lang.setdefault(r.lang, []).append(r)
+    for name, own in by_lang.items():
+        toxic, clean = sum(r.toxic for r in own), sum(r.clean for r in own)
+        if toxic + clean >= least and toxic and clean:
+            model.thresholds[name] = float(1 / (1 + np.exp(-(cut(own) + model.shift))))
     return model
 
 
