@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tramflow.functions._cols import as_col
+from tramflow.session import ensure_checkpoint_dir
 
 
 def _w(partition_by: Sequence, order_by: Sequence):
@@ -201,13 +202,29 @@ def previous_distinct(
     order_by: Sequence,
     out: str = "prev_distinct",
     split_by: Column | None = None,
+    split_rows: int | None = None,
 ) -> DataFrame:
     """For each row, the value of the previous run of equal values.
 
     Equals ``last(when(v != lag(v), lag(v)), ignorenulls)`` over the group in
     order: NULL in the first run of each group.  With ``split_by`` a hot group is
     spread over many tasks (``segmented_scan`` of ``LastChange``); the result is the same.
+    With ``split_rows`` only groups of more rows are cut and the others are scanned in one pass: where
+    most chunks hold a row or two, their summaries would be as many as the rows.  A count by group finds
+    which, so ``df`` is read twice and should lie in files.
     """
+    if split_by is not None and split_rows is not None:
+        key = F.struct(*[F.col(c) for c in partition_by])
+        big = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > split_rows)
+        ensure_checkpoint_dir(df.sparkSession)
+        big = big.select(key.alias("_big")).checkpoint()  # one row at most for so many of the input
+        if big.isEmpty():
+            return previous_distinct(df, value, partition_by, order_by, out)
+        rows = df.join(F.broadcast(big), key == F.col("_big"), "left")
+        few, many = (rows.filter(c).drop("_big") for c in (F.col("_big").isNull(), F.col("_big").isNotNull()))
+        return previous_distinct(few, value, partition_by, order_by, out).unionByName(
+            previous_distinct(many, value, partition_by, order_by, out, split_by)
+        )
     if split_by is not None:
         return segmented_scan(df, partition_by, order_by, split_by, {out: LastChange(value)})
     w = _w(partition_by, order_by)
