@@ -5,7 +5,8 @@ word seldom meets a toxic one in both, and one of its first bytes. Filters of se
 slide over the words; the strongest response of each in the document is pooled and scored.
 
 Training reads every labelled row outside the held-out fold, whole. The rows are dealt over shards; in
-each epoch every shard goes on from the common weights and Spark averages what the shards change. A
+each epoch every shard goes on from the common weights and Spark averages what the shards change. A task takes
+its shards one after another and sends on the sum of their changes, so what is shuffled grows with the cores, not the rows. A
 fifth of the rows calibrates, by counts of their logits: the score's scale, so that 0.7 is the best
 cut over all, and one more threshold for each language.
 """
@@ -204,23 +205,41 @@ def difference(trainer: Trainer, before: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def epoch(rows: DataFrame, trainer: Trainer) -> None:
-    """One pass over ``rows``, each partition a shard; a row of weights moves by the mean of the shards that changed it."""
+    """One pass over ``rows``, whose partitions hold shards one after another; a row of weights moves by the mean of the shards that changed it."""
     shared = rows.sparkSession.sparkContext.broadcast(difference(trainer, Trainer().flat()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer = Trainer(shared.value)
-        before = trainer.flat()
+        trainer, at = None, None
+        before = Trainer(shared.value).flat()
+        total, times = np.zeros(before.shape, np.float32), np.zeros(len(before), np.int64)
+
+        def close() -> None:
+            slot, change = difference(trainer, before)
+            total[slot] += change
+            times[slot] += 1
+
         for batch in batches:
             for part in chunks(batch, "bag"):
-                bags = [np.frombuffer(b.as_buffer(), np.int32).reshape(-1, 3) for b in part.column("bag")]
-                label = np.asarray(part.column("label"), np.float32)
-                for at in range(0, len(bags), BATCH):
-                    trainer.step(bags[at : at + BATCH], label[at : at + BATCH])
-        slot, change = difference(trainer, before)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), *(pa.array(c) for c in change.T)], ["slot", *CHANGES])
-
-    moved = rows.mapInArrow(run, ", ".join(["slot long", *(f"{c} float" for c in CHANGES)]))
-    mean = moved.groupBy("slot").agg(*(F.avg(c).cast("float").alias(c) for c in CHANGES)).toArrow()
+                shard = np.asarray(part.column("shard"))
+                edges = np.append(0, np.flatnonzero(np.diff(shard)) + 1)
+                for a, b in zip(edges.tolist(), np.append(edges[1:], len(shard)).tolist(), strict=True):
+                    if int(shard[a]) != at:
+                        if trainer is not None:
+                            close()
+                        trainer, at = Trainer(shared.value), int(shard[a])
+                    some = part.slice(a, b - a)
+                    bags = [np.frombuffer(x.as_buffer(), np.int32).reshape(-1, 3) for x in some.column("bag")]
+                    label = np.asarray(some.column("label"), np.float32)
+                    for k in range(0, len(bags), BATCH):
+                        trainer.step(bags[k : k + BATCH], label[k : k + BATCH])
+        if trainer is not None:
+            close()
+        slot = np.flatnonzero(times)
+        columns = [pa.array(slot), pa.array(times[slot]), *(pa.array(c) for c in total[slot].T)]
+        yield pa.RecordBatch.from_arrays(columns, ["slot", "times", *CHANGES])
+
+    moved = rows.mapInArrow(run, ", ".join(["slot long", "times long", *(f"{c} float" for c in CHANGES)]))
+    mean = moved.groupBy("slot").agg(*((F.sum(c) / F.sum("times")).cast("float").alias(c) for c in CHANGES)).toArrow()
     shared.destroy()
     trainer.add(np.asarray(mean.column("slot")), np.stack([np.asarray(mean.column(c)) for c in CHANGES], axis=1))
 
@@ -237,7 +256,9 @@ def best_cut(logit: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
 
 
 def training_bags(docs: DataFrame, marks: DataFrame, shard_rows: int) -> DataFrame:
-    """``lang, label, fold, bag`` of every row with a label outside the held-out fold, dealt over shards in mixed order and written.
+    """``lang, label, fold, shard, bag`` of every row with a label outside the held-out fold, dealt over shards in mixed order and written.
+
+    There is a partition for each core at most; it holds whole shards, one behind another.
 
     Null labels are left out; of repeated labels of one id the largest holds.
     """
@@ -248,16 +269,18 @@ def training_bags(docs: DataFrame, marks: DataFrame, shard_rows: int) -> DataFra
     rows = texts.where(~held_out()).join(known, "doc_id")
     mixed = F.xxhash64("doc_id", "text")
     rows = rows.withColumn("mixed", mixed).withColumn("fold", F.pmod(F.xxhash64("mixed", F.lit(66)), F.lit(5)) == 0)
-    rows = rows.repartition(shards, "mixed").sortWithinPartitions("mixed").select("text", "lang", "label", "fold")
+    rows = rows.withColumn("shard", F.pmod(F.hash("mixed"), F.lit(shards)))
+    tasks = min(shards, docs.sparkSession.sparkContext.defaultParallelism)
+    rows = rows.repartitionById(tasks, F.col("shard") % tasks).sortWithinPartitions("shard", "mixed").select("text", "lang", "label", "fold", "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
                 keys, ends = word_keys(part.column("text"))
                 bags = [keys[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("lang"), part.column("label"), part.column("fold"), pa.array(bags, pa.binary())], ["lang", "label", "fold", "bag"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("lang", "label", "fold", "shard")), pa.array(bags, pa.binary())], ["lang", "label", "fold", "shard", "bag"])
 
-    return rows.mapInArrow(run, "lang string, label int, fold boolean, bag binary").checkpoint()
+    return rows.mapInArrow(run, "lang string, label int, fold boolean, shard int, bag binary").checkpoint()
 
 
 def train(docs: DataFrame, marks: DataFrame, least: int = 40, shard_rows: int = SHARD_ROWS) -> Model | None:
