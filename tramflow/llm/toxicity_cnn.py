@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -255,6 +256,48 @@ def best_cut(logit: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
     return float((edges[wide] + edges[wide + 1]) / 2)
 
 
+def maybe_in(rows: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """``rows`` whose ``doc_id`` is in ``ids``, and an eighth of the others at most: those whose hash hits the bit of one of the ``n`` ids."""
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(max(8 * n, 1)))
+    ids = ids.select(F.col("doc_id").try_cast(dict(rows.dtypes)["doc_id"]).alias("doc_id"))
+    bits = ids.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+    at = F.bitmap_bit_position(spot).cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = byte.bitwiseAND(F.pow(F.lit(2), at % 8).cast("int")) != 0
+    return rows.join(F.broadcast(bits), F.bitmap_bucket_number(spot) == F.col("bucket")).where(hit).drop("bucket", "bits")
+
+
+def dealt(docs: DataFrame, known: DataFrame, n: int, shards: int, tasks: int) -> DataFrame:
+    """``doc_id, mixed, label, text, lang, fold, shard``: texts without a label and rows of labels without a text, which come before their texts.
+
+    The texts are those that may have one of the ``n`` labels. Labels are joined to ids and hashes of texts, and then go
+    where the texts are dealt to, so a text is moved once.
+    """
+    texts = docs.where(~held_out()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
+    texts = maybe_in(texts, known, n).withColumn("mixed", F.xxhash64("doc_id", "text"))
+    marked = texts.select("doc_id", "mixed").join(known, "doc_id").select("doc_id", "mixed", "label", F.lit("").alias("text"), F.lit("").alias("lang"))
+    rows = marked.unionByName(texts.withColumn("label", F.lit(None).cast("int")))
+    rows = rows.withColumn("fold", F.pmod(F.xxhash64("mixed", F.lit(66)), F.lit(5)) == 0).withColumn("shard", F.pmod(F.hash("mixed"), F.lit(shards)))
+    return rows.repartitionById(tasks, F.col("shard") % tasks).sortWithinPartitions("shard", "mixed", "doc_id", F.col("label").isNull())
+
+
+def with_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of ``dealt`` that have a label, with it."""
+    last = None  # the last label's row
+    for batch in batches:
+        for part in chunks(batch):
+            part = part if last is None else pa.Table.from_batches([last, part]).combine_chunks().to_batches()[0]
+            marks = np.flatnonzero(np.asarray(part.column("label").is_valid()))
+            if not len(marks):
+                continue
+            last = part.slice(int(marks[-1]), 1)
+            own = pa.array(marks[np.maximum(np.searchsorted(marks, np.arange(len(part)), "right") - 1, 0)])
+            same = pa.compute.and_(*(pa.compute.equal(part.column(c), part.column(c).take(own)) for c in ("doc_id", "mixed")))
+            found = pa.compute.and_(same, part.column("label").is_null())
+            label = part.column("label").take(own)
+            yield part.set_column(part.schema.get_field_index("label"), "label", label).filter(found)
+
+
 def training_bags(docs: DataFrame, marks: DataFrame, shard_rows: int) -> DataFrame:
     """``lang, label, fold, shard, bag`` of every row with a label outside the held-out fold, dealt over shards in mixed order and written.
 
@@ -264,23 +307,17 @@ def training_bags(docs: DataFrame, marks: DataFrame, shard_rows: int) -> DataFra
     """
     ensure_checkpoint_dir(docs.sparkSession)
     known = marks.where(F.col("toxic").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    shards = min(max(-(-known.count() // shard_rows), 1), SHARDS)
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("lang", F.lit("")).alias("lang"))
-    rows = texts.where(~held_out()).join(known, "doc_id")
-    mixed = F.xxhash64("doc_id", "text")
-    rows = rows.withColumn("mixed", mixed).withColumn("fold", F.pmod(F.xxhash64("mixed", F.lit(66)), F.lit(5)) == 0)
-    rows = rows.withColumn("shard", F.pmod(F.hash("mixed"), F.lit(shards)))
+    n = known.count()
+    shards = min(max(-(-n // shard_rows), 1), SHARDS)
     tasks = min(shards, docs.sparkSession.sparkContext.defaultParallelism)
-    rows = rows.repartitionById(tasks, F.col("shard") % tasks).sortWithinPartitions("shard", "mixed").select("text", "lang", "label", "fold", "shard")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch):
-                keys, ends = word_keys(part.column("text"))
-                bags = [keys[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("lang", "label", "fold", "shard")), pa.array(bags, pa.binary())], ["lang", "label", "fold", "shard", "bag"])
+        for part in with_labels(batches):
+            keys, ends = word_keys(part.column("text"))
+            bags = [keys[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("lang", "label", "fold", "shard")), pa.array(bags, pa.binary())], ["lang", "label", "fold", "shard", "bag"])
 
-    return rows.mapInArrow(run, "lang string, label int, fold boolean, shard int, bag binary").checkpoint()
+    return dealt(docs, known, n, shards, tasks).mapInArrow(run, "lang string, label int, fold boolean, shard int, bag binary").checkpoint()
 
 
 def train(docs: DataFrame, marks: DataFrame, least: int = 40, shard_rows: int = SHARD_ROWS) -> Model | None:
